@@ -11,13 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
-    # The session roll-up keeps two small sets per session; this lets the
-    # map-side hash aggregation hold more sessions before it falls back to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -52,7 +52,6 @@ def id_list(c: Column | str) -> Column:
     return F.split(col(c), ",").try_cast("array<bigint>")
 
 
-def ratio(part: Column, total: Column) -> Column:
-    """part / total rounded half up to two digits, in exact integer arithmetic."""
-    whole = F.nullif(total, F.lit(0))
-    return F.call_function("div", 200 * part + whole, 2 * whole) / 100
+def ratio(part: str, total: str) -> str:
+    """SQL for part / total rounded half up to two digits, in exact integer arithmetic."""
+    return f"(200 * {part} + {total}) div nullif(2 * {total}, 0) / 100"

@@ -25,27 +25,24 @@ def render_fields(fields: dict[str, Column | str], delimiter: str = DELIMITER) -
 def get_field(c: Column | str, field: str, delimiter: str = DELIMITER) -> Column:
     """Value of the first `field=value` part.
 
-    Null when there is none, when the value is empty or contains `=`.
+    Null when there is none, when the value is empty or contains `=`; any `=` at
+    the end of a part does not count.
     """
-    parts = F.transform(
-        F.split(col(c), re.escape(delimiter)),
-        lambda part: F.split(F.regexp_replace(part, "=+\\z", ""), "="),
-    )
-    matches = F.filter(parts, lambda kv: (F.size(kv) == 2) & (F.get(kv, F.lit(0)) == field))
-    return F.get(F.get(matches, F.lit(0)), F.lit(1))
+    d = re.escape(delimiter)
+    pattern = f"(?:^|{d}){re.escape(field)}=((?:(?!{d})[^=])+)=*(?={d}|\\z)"
+    return F.nullif(F.regexp_extract(col(c), pattern, 1), F.lit(""))
 
 
-def set_field(c: Column | str, field: str, value: Column | str, delimiter: str = DELIMITER) -> Column:
+def set_field(c: Column | str, field: str, value: str, delimiter: str = DELIMITER) -> Column:
     """The text with the value of the first part named `field` replaced.
 
     Delimiters at the end are dropped. Text without such a part keeps its parts.
     """
-    new = F.concat(F.lit(f"{field}="), F.lit(value) if isinstance(value, str) else value.cast("string"))
-    trimmed = F.regexp_replace(col(c), f"({re.escape(delimiter)})+\\z", "")
-    parts = F.split(trimmed, re.escape(delimiter))
-    names = F.transform(parts, lambda part: F.substring_index(part, "=", 1))
-    at = F.array_position(names, field) - 1
-    return F.array_join(F.transform(parts, lambda part, i: F.when(i == at, new).otherwise(part)), delimiter)
+    d = re.escape(delimiter)
+    new = re.sub(r"([\\$])", r"\\\1", f"{field}={value}")
+    trimmed = F.regexp_replace(col(c), f"(?:{d})+\\z", "")
+    first = f"(?s)^((?:.*?{d})??){re.escape(field)}(?:=(?:(?!{d}).)*)?(?={d}|\\z)"
+    return F.regexp_replace(trimmed, first, f"$1{new}")
 
 
 def trim_comma(c: Column | str) -> Column:

@@ -12,50 +12,48 @@ def page_convert_rate(actions: DataFrame, flow: str) -> DataFrame:
     (action_time, page_id). Rows with an unreadable time are left out.
 
     Equal (time, page) rows of a session are counted before anything is ordered,
-    and a session is ordered hour by hour; the steps from one hour to the next are
-    added from the first and last row of each hour. So no task orders a whole
+    and a session is ordered hour by hour; the moves from one hour to the next are
+    added from the last and first page of the hours. So no task orders a whole
     session.
     """
     pages = [int(p) for p in flow.split(",")]
     steps = list(zip(pages, pages[1:]))
-    views = (
-        actions.select("session_id", "page_id", parse_time("action_time").alias("at"))
-        .where("at is not null")
-        .groupBy("session_id", "at", "page_id")
-        .agg(F.count(F.lit(1)).alias("views"))
-        .withColumn("hour", F.date_trunc("HOUR", "at"))
+    by_hour = Window.partitionBy("session_id", "hour").orderBy("acted", "page_id")
+    rows = (
+        actions.select("session_id", "page_id", parse_time("action_time").alias("acted"))
+        .where("acted is not null")
+        .groupBy("session_id", "acted", "page_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("hour", F.date_trunc("HOUR", "acted"))
+        .withColumn("next_page", F.lead("page_id").over(by_hour))
     )
-    within = views.select(
-        "page_id",
-        F.lead("page_id").over(Window.partitionBy("session_id", "hour").orderBy("at", "page_id")).alias("next_page"),
-        "views",
+    # One row per session and hour: sums for each step, and the pages at both ends.
+    sums = [F.expr(f"sum(if(page_id = {a}, n, 0)) as views_{i}") for i, (a, b) in enumerate(steps)]
+    sums += [F.expr(f"sum({_moves(a, b)}) as moves_{i}") for i, (a, b) in enumerate(steps)]
+    hours = rows.groupBy("session_id", "hour").agg(
+        *sums,
+        F.expr("min_by(page_id, (acted, page_id)) as first_page"),
+        F.expr("max_by(page_id, (acted, page_id)) as last_page"),
     )
-    place = F.struct("at", "page_id")
-    hours = views.groupBy("session_id", "hour").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    across = hours.select(
-        F.col("last.page_id").alias("page_id"),
-        F.lead("first.page_id").over(Window.partitionBy("session_id").orderBy("hour")).alias("next_page"),
-        F.lit(0).cast("bigint").alias("views"),
-    )
-    moves = within.unionByName(across)
-    sums = []
-    for i, (a, b) in enumerate(steps):
-        on_page = F.when(F.col("page_id") == a, F.col("views")).otherwise(0)
-        moved = F.when((F.col("page_id") == a) & (F.col("next_page") == b), 1).otherwise(0)
-        if a == b:  # n equal rows are n - 1 moves from the page to itself
-            moved = moved + F.greatest(on_page - 1, F.lit(0))
-        sums += [F.coalesce(F.sum(on_page), F.lit(0)).alias(f"views_{i}"), F.coalesce(F.sum(moved), F.lit(0)).alias(f"moves_{i}")]
-    rows = F.array(
+    following = Window.partitionBy("session_id").orderBy("hour")
+    totals = hours.withColumn("next_first", F.lead("first_page").over(following)).agg(
+        *[F.expr(f"coalesce(sum(views_{i}), 0) as views_{i}") for i in range(len(steps))],
         *[
-            F.struct(
-                F.lit(a).cast("bigint").alias("page_from"),
-                F.lit(b).cast("bigint").alias("page_to"),
-                F.col(f"views_{i}").alias("views"),
-                F.col(f"moves_{i}").cast("bigint").alias("moves"),
-            )
+            F.expr(f"coalesce(sum(moves_{i} + int(last_page <=> {a} and next_first <=> {b})), 0) as moves_{i}")
             for i, (a, b) in enumerate(steps)
-        ]
+        ],
     )
-    return moves.agg(*sums).select(F.inline(rows)).withColumn(
-        "rate", F.col("moves") / F.nullif("views", F.lit(0).cast("bigint"))
+    lines = [
+        f"named_struct('page_from', {a}L, 'page_to', {b}L, 'views', views_{i}, 'moves', moves_{i})"
+        for i, (a, b) in enumerate(steps)
+    ]
+    return totals.selectExpr(f"inline(array({', '.join(lines)}))").withColumn(
+        "rate", F.expr("moves / nullif(views, 0)")
     )
+
+
+def _moves(a: int, b: int) -> str:
+    """SQL for the moves from page a to page b that begin at one counted row."""
+    move = f"int(page_id <=> {a} and next_page <=> {b})"
+    # n equal rows are also n - 1 moves from the page to itself.
+    return f"{move} + if(page_id = {a}, n - 1, 0)" if a == b else move

@@ -40,7 +40,8 @@ def random_extract_session(
     """Draw each day-hour's quota of sessions, uniformly and reproducibly.
 
     Sessions are ranked by a seeded hash. No quota is above `n`, so at most `n`
-    sessions per day-hour are kept before the quota is joined.
+    sessions per day-hour are kept before the quota is joined. `sessions` is read
+    twice, so it had better be a table than a computation.
     """
     quota = extract_quota(sessions, n).select("date", "hour", "quota")
     start = F.split("start_time", "[ :]")

@@ -2,11 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows of one key that one join task may hold before the key is split.
-HOT_ROWS = 5_000_000
-# Longest list of hot keys that is broadcast. The list holds the biggest keys, so
-# every key beyond it has less than 1/10,000 of the rows and joins unsplit.
-HOT_KEYS = 10_000
 # Largest k for which Spark prunes to k rows per group ahead of the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
@@ -14,35 +9,17 @@ GROUP_LIMIT = 1000
 SUB_GROUPS = 512
 
 
-def with_group_values(
-    rows: DataFrame, key: str, values: list[Column], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_group_values(rows: DataFrame, key: str, values: list[Column]) -> DataFrame:
     """Attach aggregates over each group of `key` to every row of the group.
 
     A window over `key` would sort a whole group in one task. Here the groups are
-    pre-aggregated and joined back, and the rows of a key above `hot_rows` are
-    spread over as many join tasks as needed.
+    pre-aggregated and joined back. While the groups are few they are broadcast and
+    the rows stay where they are. Beyond that both sides are shuffled, and adaptive
+    execution cuts the rows of a hot key into several tasks; it can do so because
+    the null-safe key gives the groups a shuffle of their own for this join.
     """
-    groups = rows.groupBy(F.col(key).alias("_key")).agg(
-        *values, F.ceil(F.count(F.lit(1)) / hot_rows).alias("_splits")
-    )
-    hot = (
-        groups.where("_splits > 1")
-        .select(F.col("_key").alias("_hot_key"), F.col("_splits").alias("_hot_splits"))
-        .orderBy(F.desc("_hot_splits"), "_hot_key")
-        .limit(HOT_KEYS)
-    )
-    # Copies of a row sit in different partitions; adding the partition id spreads
-    # them too, and stays the same when a lost task runs again.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.col("_hot_splits"))
-    salted = rows.join(
-        F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left"
-    ).withColumn("_salt", F.when(F.col("_hot_splits").isNotNull(), spread).otherwise(F.lit(0)))
-    copies = groups.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_splits") - 1)))
-    return salted.join(
-        copies,
-        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_copy")),
-    ).drop("_key", "_hot_key", "_splits", "_hot_splits", "_salt", "_copy")
+    groups = rows.groupBy(F.col(key).alias("_key")).agg(*values)
+    return rows.join(groups, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:

@@ -1,8 +1,8 @@
 """Histograms of sessions."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from footfall.functions.columns import DATE_HOUR_FORMAT, parse_time, ratio
+from footfall.functions.columns import ratio
 from footfall.schemas import STEP_BUCKETS, VISIT_BUCKETS
 
 
@@ -12,24 +12,26 @@ def session_agg_stat(sessions: DataFrame, task_id: int) -> DataFrame:
     A single global aggregation; each task sends one partial row. Without sessions
     the count is 0 and the ratios are null.
     """
-    counts = [
-        F.count_if(_within(column, low, high)).alias(f"{column}_{suffix}")
-        for column, buckets in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS))
-        for suffix, low, high in buckets
-    ]
-    names = [f"visit_length_{b[0]}" for b in VISIT_BUCKETS] + [f"step_length_{b[0]}" for b in STEP_BUCKETS]
-    return sessions.agg(F.count(F.lit(1)).alias("session_count"), *counts).select(
-        F.lit(task_id).cast("bigint").alias("task_id"),
+    buckets = {
+        f"{column}_{suffix}": _within(column, low, high)
+        for column, table in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS))
+        for suffix, low, high in table
+    }
+    return sessions.agg(
+        F.count(F.lit(1)).alias("session_count"),
+        *[F.expr(f"count_if({test}) as {name}") for name, test in buckets.items()],
+    ).selectExpr(
+        f"cast({task_id} as bigint) as task_id",
         "session_count",
-        *[ratio(F.col(n), F.col("session_count")).alias(f"{n}_ratio") for n in names],
+        *[f"{ratio(name, 'session_count')} as {name}_ratio" for name in buckets],
     )
 
 
-def _within(column: str, low: int, high: int | None) -> Column:
-    return F.col(column) >= low if high is None else F.col(column).between(low, high)
+def _within(column: str, low: int, high: int | None) -> str:
+    return f"{column} >= {low}" if high is None else f"{column} between {low} and {high}"
 
 
 def session_hour_count(sessions: DataFrame) -> DataFrame:
     """Number of sessions per day and hour of their start."""
-    hour = F.date_format(parse_time("start_time"), DATE_HOUR_FORMAT)
+    hour = F.translate(F.substring("start_time", 1, 13), " ", "_")
     return sessions.groupBy(hour.alias("date_hour")).agg(F.count(F.lit(1)).alias("session_count"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.conf import scratch_folder
+from footfall.conf import materialize, scratch_folder
 from footfall.functions.concat_fields import concat_field_job
 from footfall.functions.time_features import time_feature_job
 from footfall.operators import categories, pages, sampling, sessions as ops, stats
@@ -73,7 +73,8 @@ def extract_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_extract_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.random_extract_session(_sessions(spark, sf_dir, TWO_DAYS), TASK_ID, seed=SEED)
+    sessions = materialize(_sessions(spark, sf_dir, TWO_DAYS), "sessions")
+    return sampling.random_extract_session(sessions, TASK_ID, seed=SEED)
 
 
 def session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,13 +159,13 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partitioned_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    documents = views.table(spark, sf_dir, "documents").select("text")
     return files.word_counts(documents, "text").repartition(20)
 
 
 def stream_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-stream")
-    lines = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    lines = views.table(spark, sf_dir, "events").select(
         F.concat_ws(",", "event_type", F.get_json_object("props", "$.k"))
     )
     lines.repartition(2).write.text(f"{folder}/lines")
@@ -175,7 +176,7 @@ def stream_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_folder(spark, "top10-category")
-    counts = _category_counts(spark, sf_dir, *categories.KINDS)
+    counts = materialize(_category_counts(spark, sf_dir, *categories.KINDS), "category-counts")
     top = categories.top_categories(counts, TASK_ID)
     replace_task(categories.top_categories(counts, TASK_ID, k=25), table, TASK_ID)
     replace_task(top, table, TASK_ID)

@@ -5,8 +5,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.operators.skew import with_group_values
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns of the given tables; stated so that no job is spent on reading them.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +28,7 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
         case when user_id % 10 = 0 then 'm' || date_format(ts, 'yyyyMM')
              when user_id % 10 in (1, 2) then 'd' || cast((dayofmonth(ts) - 1) div 10 as string)
              else date_format(ts, 'yyyyMMdd') end""")
-    events = _table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select(
         "event_id",
         "ts",
         "user_id",
@@ -50,8 +59,8 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users out of `customer` and `nation`."""
-    customer = _table(spark, sf_dir, "customer")
-    nation = _table(spark, sf_dir, "nation")
+    customer = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
     return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
         "c_custkey as user_id",
         "'user' || cast(c_custkey as string) as username",
@@ -65,7 +74,7 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One analysis task per customer, with present, empty and missing parameters."""
-    return _table(spark, sf_dir, "customer").selectExpr(
+    return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as task_id",
         "'task ' || cast(c_custkey as string) as task_name",
         "cast(null as string) as create_time",
@@ -86,6 +95,6 @@ def task(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def person(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, name and age of every customer."""
-    return _table(spark, sf_dir, "customer").selectExpr(
+    return table(spark, sf_dir, "customer").selectExpr(
         "cast(c_custkey as int) as id", "c_name as name", "cast((c_custkey * 7) % 60 as int) as age"
     )
