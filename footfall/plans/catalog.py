@@ -14,7 +14,7 @@ from footfall.functions.time_features import time_feature_job
 from footfall.operators import categories, pages, sampling, sessions as ops, stats
 from footfall.plans.session_job import filtered_sessions
 from footfall.schemas import PERSON_SCHEMA
-from footfall.sinks.partitions import Discard, write_partitions
+from footfall.sinks.partitions import write_partitions
 from footfall.sinks.tables import read_results, replace_task
 from footfall.sources import files, views
 from footfall.sources.actions import actions_in_date_range
@@ -184,6 +184,13 @@ def task_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def foreach_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    class Discard:  # a local class travels to the tasks by value
+        def write(self, batch):
+            pass
+
+        def close(self):
+            pass
+
     return write_partitions(_actions(spark, sf_dir), Discard)
 
 

@@ -8,21 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 
 class Writer(Protocol):
+    """What a partition is written through."""
+
     def write(self, batch: pa.RecordBatch) -> None: ...
 
     def close(self) -> None: ...
 
 
-class Discard:
-    """A writer that keeps nothing."""
-
-    def write(self, batch: pa.RecordBatch) -> None:
-        pass
-
-    def close(self) -> None:
-        pass
-
-
 def write_partitions(df: DataFrame, open_writer: Callable[[], Writer]) -> DataFrame:
     """Hand each partition to a writer of its own in Arrow batches; gives `rows_written`.
 
