@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.functions.columns import id_list
 from footfall.operators.sampling import session_detail
-from footfall.operators.skew import top_per_group
+from footfall.operators.skew import semi_join_ids, top_per_group
 
 TOP = 10
 
@@ -80,9 +80,9 @@ def top_category_sessions(
     actions: DataFrame, top: DataFrame, task_id: int, k: int = TOP
 ) -> DataFrame:
     """For each category of `top` (a list of at most k rows) its k sessions with most clicks."""
+    touched = actions.select("session_id", F.col("click_category_id").alias("category_id"))
     clicks = (
-        actions.select("session_id", F.col("click_category_id").alias("category_id"))
-        .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+        semi_join_ids(touched, top.select("category_id"), "category_id", at_most=k)
         .groupBy("category_id", "session_id")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
