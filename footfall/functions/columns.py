@@ -15,14 +15,20 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_time(c: Column | str) -> Column:
-    """Timestamp of a time string, null when it cannot be read.
+def parse_time_sql(name: str) -> str:
+    """SQL for the timestamp of a time string, null when it cannot be read.
 
     Text in the full format takes a cast, which needs half the time of a pattern.
     """
-    full = col(c).rlike(r"\A\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z")
-    by_pattern = F.try_to_timestamp(col(c), F.lit(TIME_PARSE_FORMAT))
-    return F.when(full, col(c).try_cast("timestamp")).otherwise(by_pattern)
+    full = r"r'\A\d\d\d\d-\d\d-\d\d \d\d:\d\d:\d\d\z'"
+    return (
+        f"case when {name} rlike {full} then try_cast({name} as timestamp) "
+        f"else try_to_timestamp({name}, '{TIME_PARSE_FORMAT}') end"
+    )
+
+
+def parse_time(name: str) -> Column:
+    return F.expr(parse_time_sql(name))
 
 
 def parse_date_key(c: Column | str) -> Column:
@@ -52,9 +58,9 @@ def seconds_between(a: Column, b: Column) -> Column:
     return F.coalesce(F.unix_timestamp(a) - F.unix_timestamp(b), F.lit(0))
 
 
-def id_list(c: Column | str) -> Column:
-    """Numbers in a comma-separated list; a part that is no number becomes null."""
-    return F.split(col(c), ",").try_cast("array<bigint>")
+def id_list(name: str) -> str:
+    """SQL for the numbers in a comma-separated list; a part that is no number becomes null."""
+    return f"try_cast(split({name}, ',') as array<bigint>)"
 
 
 def ratio(part: str, total: str) -> str:

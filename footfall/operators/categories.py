@@ -18,26 +18,30 @@ def category_touches(actions: DataFrame, kinds: tuple[str, ...] = KINDS) -> Data
     of a list that are no numbers are ignored.
     """
     lists = {
-        "click": F.array("click_category_id"),
+        "click": "array(click_category_id)",
         "order": id_list("order_category_ids"),
         "pay": id_list("pay_category_ids"),
     }
-    sources = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
-    named = F.coalesce(*[F.col(sources[k]).cast("string") for k in kinds]).isNotNull()
-    none = F.array().cast("array<bigint>")
-    parts = actions.where(named).select(
-        "session_id", *[F.coalesce(lists[k], none).alias(k) for k in kinds]
-    )
+    given = {
+        "click": "click_category_id is not null",
+        "order": "order_category_ids is not null",
+        "pay": "pay_category_ids is not null",
+    }
     # The position in the joined list tells which of the lists an id comes from.
-    kind, end = F, F.lit(0)
-    for k in kinds[:-1]:
-        end = end + F.size(k)
-        kind = kind.when(F.col("pos") < end, F.lit(k))
-    kind = kind.otherwise(F.lit(kinds[-1])) if len(kinds) > 1 else F.lit(kinds[0])
-    return (
-        parts.select("*", F.posexplode(F.concat(*kinds)).alias("pos", "category_id"))
-        .where(F.col("category_id").isNotNull())
-        .select("session_id", "category_id", kind.alias("kind"))
+    tests = [
+        f"when pos < {' + '.join(f'size({k}_ids)' for k in kinds[: i + 1])} then '{kind}'"
+        for i, kind in enumerate(kinds)
+    ]
+    return actions.sparkSession.sql(
+        f"""
+        select session_id, category_id, case {' '.join(tests)} end as kind
+        from (
+          select *, posexplode(concat({', '.join(f'{k}_ids' for k in kinds)})) as (pos, category_id)
+          from (
+            select session_id, {', '.join(f'coalesce({lists[k]}, array()) as {k}_ids' for k in kinds)}
+            from {{actions}} where {' or '.join(given[k] for k in kinds)}))
+        where category_id is not null""",
+        actions=actions,
     )
 
 
@@ -50,15 +54,16 @@ def category_counts(
     many actions is a few rows by the time it meets the session list; both sides
     may be large, so that join is left to Spark.
     """
-    per_session = (
-        category_touches(actions, kinds)
-        .groupBy("session_id", "category_id")
-        .agg(*[F.count_if(F.col("kind") == k).alias(f"{k}_count") for k in kinds])
-    )
-    return (
-        per_session.join(sessions.select("session_id"), "session_id", "left_semi")
-        .groupBy("category_id")
-        .agg(*[F.sum(f"{k}_count").alias(f"{k}_count") for k in kinds])
+    counted = ", ".join(f"count_if(kind = '{k}') as {k}_count" for k in kinds)
+    summed = ", ".join(f"sum({k}_count) as {k}_count" for k in kinds)
+    return actions.sparkSession.sql(
+        f"""
+        select category_id, {summed}
+        from (select session_id, category_id, {counted} from {{touches}} group by session_id, category_id)
+        left semi join {{sessions}} using (session_id)
+        group by category_id""",
+        touches=category_touches(actions, kinds),
+        sessions=sessions,
     )
 
 
@@ -69,10 +74,7 @@ def top_categories(counts: DataFrame, task_id: int, k: int = TOP) -> DataFrame:
             F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), "category_id"
         )
         .limit(k)
-        .select(
-            F.lit(task_id).cast("bigint").alias("task_id"),
-            "category_id", "click_count", "order_count", "pay_count",
-        )
+        .selectExpr(f"{task_id}L as task_id", "category_id", "click_count", "order_count", "pay_count")
     )
 
 
@@ -87,9 +89,7 @@ def top_category_sessions(
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
     ranked = top_per_group(clicks, ["category_id"], [F.desc("click_count"), F.col("session_id")], k)
-    return ranked.select(
-        F.lit(task_id).cast("bigint").alias("task_id"), "category_id", "session_id", "click_count"
-    )
+    return ranked.selectExpr(f"{task_id}L as task_id", "category_id", "session_id", "click_count")
 
 
 def top_session_detail(

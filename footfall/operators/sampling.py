@@ -1,6 +1,6 @@
 """Time-proportional random sample of sessions and their detail rows."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from footfall.operators.skew import semi_join_ids, top_per_group
 from footfall.operators.stats import session_hour_count
@@ -17,20 +17,19 @@ def extract_quota(sessions: DataFrame, n: int = SAMPLE_SIZE) -> DataFrame:
 
     The windows run on the counts, which have at most 24 rows per day.
     """
-    hours = session_hour_count(sessions).select(
-        F.substring_index("date_hour", "_", 1).alias("date"),
-        F.substring_index("date_hour", "_", -1).alias("hour"),
-        "session_count",
-    )
-    day = Window.partitionBy("date")
-    first_hour = F.row_number().over(day.orderBy("hour")) == 1
-    per_day = F.call_function("div", F.lit(n), F.sum(F.col("first_hour").cast("bigint")).over(Window.partitionBy()))
-    share = F.col("session_count").cast("double") / F.col("day_count").cast("double")
-    return (
-        hours.withColumn("day_count", F.sum("session_count").over(day))
-        .withColumn("first_hour", first_hour)
-        .withColumn("quota", F.least(F.floor(share * per_day), F.col("session_count")))
-        .select("date", "hour", "session_count", "quota")
+    return sessions.sparkSession.sql(
+        f"""
+        select date, hour, session_count,
+          least(floor(cast(session_count as double) / cast(day_count as double) * ({n} div days)), session_count) as quota
+        from (
+          select *, sum(if(hour = first_hour, 1L, 0L)) over () as days
+          from (
+            select *, sum(session_count) over day as day_count, min(hour) over day as first_hour
+            from (
+              select substring_index(date_hour, '_', 1) as date, substring_index(date_hour, '_', -1) as hour, session_count
+              from {{hours}})
+            window day as (partition by date)))""",
+        hours=session_hour_count(sessions),
     )
 
 
@@ -43,30 +42,23 @@ def random_extract_session(
     sessions per day-hour are kept before the quota is joined. `sessions` is read
     twice, so it had better be a table than a computation.
     """
-    quota = extract_quota(sessions, n).select("date", "hour", "quota")
-    start = F.split("start_time", "[ :]")
-    ranked = top_per_group(
-        sessions.select(
-            "session_id", "start_time", "end_time", "search_keywords", "click_category_ids",
-            start[0].alias("date"), start[1].alias("hour"),
-            F.md5(F.concat_ws("_", F.lit(str(seed)), "session_id")).alias("draw"),
-        ),
-        ["date", "hour"],
-        [F.col("draw"), F.col("session_id")],
-        n,
+    drawn = sessions.selectExpr(
+        "session_id", "start_time", "end_time", "search_keywords", "click_category_ids",
+        "left(start_time, 10) as date", "substr(start_time, 12, 2) as hour",
+        f"md5(concat('{seed}_', session_id)) as draw",
     )
-    return (
-        ranked.join(quota, ["date", "hour"])
-        .where(F.col("rank") <= F.col("quota"))
-        .select(
-            F.lit(task_id).cast("bigint").alias("task_id"),
-            "session_id", "start_time", "end_time", "search_keywords", "click_category_ids",
-        )
+    ranked = top_per_group(drawn, ["date", "hour"], [F.col("draw"), F.col("session_id")], n)
+    return sessions.sparkSession.sql(
+        f"""
+        select {task_id}L as task_id, session_id, start_time, end_time, search_keywords, click_category_ids
+        from {{ranked}} join {{quota}} using (date, hour) where rank <= quota""",
+        ranked=ranked,
+        quota=extract_quota(sessions, n),
     )
 
 
 def session_detail(actions: DataFrame, ids: DataFrame, task_id: int, at_most: int) -> DataFrame:
     """All action rows of the sessions in `ids`, a list of at most `at_most` sessions."""
-    return semi_join_ids(actions, ids.select("session_id"), "session_id", at_most).select(
-        F.lit(task_id).cast("bigint").alias("task_id"), *DETAIL_COLUMNS
+    return semi_join_ids(actions, ids.select("session_id"), "session_id", at_most).selectExpr(
+        f"{task_id}L as task_id", *DETAIL_COLUMNS
     )

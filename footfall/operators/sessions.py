@@ -2,8 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.functions.columns import format_time, parse_time
-from footfall.schemas import NOT_FOUND, SESSION_COLUMNS, USER_COLUMNS
+from footfall.functions.columns import TIME_FORMAT, parse_time_sql
+from footfall.schemas import NOT_FOUND
 from footfall.sources.tasks import TaskParams
 
 
@@ -15,30 +15,30 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     lists are exact distinct sets, sorted, null when empty. A session with an
     unreadable action time is left out.
     """
-    keywords = F.sort_array(F.collect_set(F.nullif("search_keyword", F.lit(""))))
-    categories = F.sort_array(F.collect_set(F.nullif("click_category_id", F.lit(NOT_FOUND))))
-    return (
-        actions.withColumn("at", parse_time("action_time"))
-        .groupBy("session_id")
-        .agg(
-            F.min(F.nullif("user_id", F.lit(NOT_FOUND))).alias("user_id"),
-            _joined(keywords).alias("search_keywords"),
-            _joined(categories.cast("array<string>")).alias("click_category_ids"),
-            F.min("at").alias("first_at"),
-            F.max("at").alias("last_at"),
-            F.count(F.lit(1)).alias("step_length"),
-            F.count_if(F.col("at").isNull()).alias("unreadable"),
-        )
-        .where("unreadable = 0")
-        .withColumn("visit_length", F.unix_timestamp("last_at") - F.unix_timestamp("first_at"))
-        .withColumn("start_time", format_time("first_at"))
-        .withColumn("end_time", format_time("last_at"))
-        .select(*SESSION_COLUMNS)
+    return actions.sparkSession.sql(
+        f"""
+        select session_id, user_id, search_keywords, click_category_ids,
+          unix_timestamp(last_at) - unix_timestamp(first_at) as visit_length, step_length,
+          date_format(first_at, '{TIME_FORMAT}') as start_time,
+          date_format(last_at, '{TIME_FORMAT}') as end_time
+        from (
+          select session_id,
+            min(nullif(user_id, {NOT_FOUND})) as user_id,
+            {_joined("sort_array(collect_set(nullif(search_keyword, '')))")} as search_keywords,
+            {_joined(f"sort_array(collect_set(nullif(click_category_id, {NOT_FOUND})))")} as click_category_ids,
+            min(acted) as first_at,
+            max(acted) as last_at,
+            count(*) as step_length,
+            count_if(acted is null) as unreadable
+          from (select *, {parse_time_sql("action_time")} as acted from {{actions}})
+          group by session_id)
+        where unreadable = 0""",
+        actions=actions,
     )
 
 
-def _joined(parts: Column) -> Column:
-    return F.nullif(F.array_join(parts, ","), F.lit(""))
+def _joined(parts: str) -> str:
+    return f"nullif(array_join(cast({parts} as array<string>), ','), '')"
 
 
 def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -48,8 +48,10 @@ def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
     while it is below the size threshold and sort-merge joins it beyond, where
     adaptive execution splits a user with very many sessions.
     """
-    return sessions.join(users.select("user_id", *USER_COLUMNS), "user_id").select(
-        *SESSION_COLUMNS, *USER_COLUMNS
+    return sessions.sparkSession.sql(
+        "select s.*, age, professional, city, sex from {sessions} s join {users} using (user_id)",
+        sessions=sessions,
+        users=users,
     )
 
 

@@ -40,8 +40,15 @@ def _actions(spark: SparkSession, sf_dir: str, params: TaskParams = WHOLE_RANGE)
     return actions_in_date_range(views.user_visit_action(spark, sf_dir), params)
 
 
+def _actions_and_sessions(
+    spark: SparkSession, sf_dir: str, params: TaskParams = WHOLE_RANGE
+) -> tuple[DataFrame, DataFrame]:
+    actions = _actions(spark, sf_dir, params)
+    return actions, filtered_sessions(actions, views.user_info(spark, sf_dir), params)
+
+
 def _sessions(spark: SparkSession, sf_dir: str, params: TaskParams = WHOLE_RANGE) -> DataFrame:
-    return filtered_sessions(_actions(spark, sf_dir, params), views.user_info(spark, sf_dir), params)
+    return _actions_and_sessions(spark, sf_dir, params)[1]
 
 
 def action_scan_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,50 +79,48 @@ def extract_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.extract_quota(_sessions(spark, sf_dir, TWO_DAYS))
 
 
-def random_extract_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = materialize(_sessions(spark, sf_dir, TWO_DAYS), "sessions")
-    return sampling.random_extract_session(sessions, TASK_ID, seed=SEED)
+def _sample(sessions: DataFrame) -> DataFrame:
+    return sampling.random_extract_session(materialize(sessions, "sessions"), TASK_ID, seed=SEED)
 
 
-def session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.session_detail(
-        _actions(spark, sf_dir, TWO_DAYS),
-        random_extract_session(spark, sf_dir),
-        TASK_ID,
-        at_most=sampling.SAMPLE_SIZE,
-    )
+def random_extract_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(_sessions(spark, sf_dir, TWO_DAYS))
 
 
-def _category_counts(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
-    return categories.category_counts(_actions(spark, sf_dir), _sessions(spark, sf_dir), kinds)
+def session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    actions, sessions = _actions_and_sessions(spark, sf_dir, TWO_DAYS)
+    return sampling.session_detail(actions, _sample(sessions), TASK_ID, at_most=sampling.SAMPLE_SIZE)
 
 
 def category_click_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _category_counts(spark, sf_dir, "click")
+    return categories.category_counts(*_actions_and_sessions(spark, sf_dir), ("click",))
 
 
 def category_order_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _category_counts(spark, sf_dir, "order")
+    return categories.category_counts(*_actions_and_sessions(spark, sf_dir), ("order",))
 
 
 def category_pay_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _category_counts(spark, sf_dir, "pay")
+    return categories.category_counts(*_actions_and_sessions(spark, sf_dir), ("pay",))
+
+
+def _top(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+    return categories.top_categories(categories.category_counts(actions, sessions), TASK_ID)
 
 
 def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.top_categories(_category_counts(spark, sf_dir, *categories.KINDS), TASK_ID)
+    return _top(*_actions_and_sessions(spark, sf_dir))
 
 
 def top10_category_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.top_category_sessions(
-        _actions(spark, sf_dir), top10_category(spark, sf_dir), TASK_ID
-    )
+    actions, sessions = _actions_and_sessions(spark, sf_dir)
+    return categories.top_category_sessions(actions, _top(actions, sessions), TASK_ID)
 
 
 def top10_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.top_session_detail(
-        _actions(spark, sf_dir), top10_category_session(spark, sf_dir), TASK_ID
-    )
+    actions, sessions = _actions_and_sessions(spark, sf_dir)
+    ranked = categories.top_category_sessions(actions, _top(actions, sessions), TASK_ID)
+    return categories.top_session_detail(actions, ranked, TASK_ID)
 
 
 def task_param_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +181,8 @@ def stream_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_folder(spark, "top10-category")
-    counts = materialize(_category_counts(spark, sf_dir, *categories.KINDS), "category-counts")
+    counts = categories.category_counts(*_actions_and_sessions(spark, sf_dir))
+    counts = materialize(counts, "category-counts")
     top = categories.top_categories(counts, TASK_ID)
     replace_task(categories.top_categories(counts, TASK_ID, k=25), table, TASK_ID)
     replace_task(top, table, TASK_ID)
