@@ -17,13 +17,13 @@ def session_agg_stat(sessions: DataFrame, task_id: int) -> DataFrame:
         for column, table in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS))
         for suffix, low, high in table
     }
-    return sessions.agg(
-        F.count(F.lit(1)).alias("session_count"),
-        *[F.expr(f"count_if({test}) as {name}") for name, test in buckets.items()],
-    ).selectExpr(
-        f"cast({task_id} as bigint) as task_id",
-        "session_count",
-        *[f"{ratio(name, 'session_count')} as {name}_ratio" for name in buckets],
+    counts = ", ".join(f"count_if({test}) as {name}" for name, test in buckets.items())
+    ratios = ", ".join(f"{ratio(name, 'session_count')} as {name}_ratio" for name in buckets)
+    return sessions.sparkSession.sql(
+        f"""
+        select {task_id}L as task_id, session_count, {ratios}
+        from (select count(*) as session_count, {counts} from {{sessions}})""",
+        sessions=sessions,
     )
 
 

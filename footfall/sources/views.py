@@ -24,51 +24,46 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     The grain of a session depends on the user (month, ten days or day). All
     actions of a session get the hour of its first event plus an offset.
     """
-    grain = F.expr("""
-        case when user_id % 10 = 0 then 'm' || date_format(ts, 'yyyyMM')
-             when user_id % 10 in (1, 2) then 'd' || cast((dayofmonth(ts) - 1) div 10 as string)
-             else date_format(ts, 'yyyyMMdd') end""")
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
-        "ts",
-        "user_id",
-        "event_type",
-        "value",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.md5(F.concat_ws("_", F.col("user_id").cast("string"), grain)).alias("session_id"),
+    events = spark.sql(
+        """
+        select event_id, ts, user_id, event_type, value, cast(get_json_object(props, '$.k') as bigint) as k,
+          md5(concat(cast(user_id as string), '_',
+            case when user_id % 10 = 0 then 'm' || date_format(ts, 'yyyyMM')
+                 when user_id % 10 in (1, 2) then 'd' || cast((dayofmonth(ts) - 1) div 10 as string)
+                 else date_format(ts, 'yyyyMMdd') end)) as session_id
+        from {events}""",
+        events=table(spark, sf_dir, "events"),
     )
-    first = F.date_trunc("HOUR", F.min("ts")).alias("base")
-    pair = """cast(k as string) || case when event_id % 2 = 0
-              then ',' || cast((k + 1) % 100 as string) else '' end"""
-    return with_group_values(events, "session_id", [first]).selectExpr(
-        "date_format(base, 'yyyy-MM-dd') as date",
-        "user_id",
-        "session_id",
-        "event_id % 10 as page_id",
-        """date_format(base + make_dt_interval(0, 0, 0, cast(floor(value * 10) as decimal(18, 6))),
-           'yyyy-MM-dd HH:mm:ss') as action_time""",
-        "case when event_type = 'view' then 'kw' || cast(k % 10 as string) end as search_keyword",
-        "case when event_type = 'click' then k end as click_category_id",
-        "case when event_type = 'click' then (k * 7) % 100 end as click_product_id",
-        f"case when event_type = 'signup' then {pair} end as order_category_ids",
-        "case when event_type = 'signup' then cast((k * 7) % 100 as string) end as order_product_ids",
-        f"case when event_type = 'purchase' then {pair} end as pay_category_ids",
-        "case when event_type = 'purchase' then cast((k * 7) % 100 as string) end as pay_product_ids",
+    first_hour = F.expr("date_trunc('HOUR', min(ts)) as base")
+    return spark.sql(
+        """
+        select date_format(base, 'yyyy-MM-dd') as date, user_id, session_id, event_id % 10 as page_id,
+          date_format(base + make_dt_interval(0, 0, 0, cast(floor(value * 10) as decimal(18, 6))),
+            'yyyy-MM-dd HH:mm:ss') as action_time,
+          case when event_type = 'view' then 'kw' || cast(k % 10 as string) end as search_keyword,
+          case when event_type = 'click' then k end as click_category_id,
+          case when event_type = 'click' then (k * 7) % 100 end as click_product_id,
+          case when event_type = 'signup' then cast(k as string) || case when event_id % 2 = 0
+            then ',' || cast((k + 1) % 100 as string) else '' end end as order_category_ids,
+          case when event_type = 'signup' then cast((k * 7) % 100 as string) end as order_product_ids,
+          case when event_type = 'purchase' then cast(k as string) || case when event_id % 2 = 0
+            then ',' || cast((k + 1) % 100 as string) else '' end end as pay_category_ids,
+          case when event_type = 'purchase' then cast((k * 7) % 100 as string) end as pay_product_ids
+        from {based}""",
+        based=with_group_values(events, "session_id", [first_hour]),
     )
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users out of `customer` and `nation`."""
-    customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
-        "c_custkey as user_id",
-        "'user' || cast(c_custkey as string) as username",
-        "c_name as name",
-        "cast((c_custkey * 7) % 60 as int) as age",
-        "c_mktsegment as professional",
-        "n_name as city",
-        "case when c_custkey % 2 = 0 then 'male' else 'female' end as sex",
+    return spark.sql(
+        """
+        select c_custkey as user_id, 'user' || cast(c_custkey as string) as username, c_name as name,
+          cast((c_custkey * 7) % 60 as int) as age, c_mktsegment as professional, n_name as city,
+          case when c_custkey % 2 = 0 then 'male' else 'female' end as sex
+        from {customer} join {nation} on c_nationkey = n_nationkey""",
+        customer=table(spark, sf_dir, "customer"),
+        nation=table(spark, sf_dir, "nation"),
     )
 
 
