@@ -38,12 +38,6 @@ TASK_PARAM_KEYS = {
 # The user or category id that stands for "no id" in the logs.
 NOT_FOUND = -1
 
-SESSION_COLUMNS = [
-    "session_id", "user_id", "search_keywords", "click_category_ids",
-    "visit_length", "step_length", "start_time", "end_time",
-]
-USER_COLUMNS = ["age", "professional", "city", "sex"]
-
 DETAIL_COLUMNS = [
     "user_id", "session_id", "page_id", "action_time", "search_keyword",
     "click_category_id", "click_product_id", "order_category_ids",
