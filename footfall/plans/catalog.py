@@ -173,8 +173,8 @@ def stream_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.table(spark, sf_dir, "events").select(
         F.concat_ws(",", "event_type", F.get_json_object("props", "$.k"))
     )
-    lines.repartition(2).write.text(f"{folder}/lines")
-    stream = tokens.read_line_stream(spark, f"{folder}/lines", files_per_batch=1)
+    lines.write.text(f"{folder}/lines")
+    stream = tokens.read_line_stream(spark, f"{folder}/lines", files_per_batch=1000)
     tokens.start_token_count(stream, f"{folder}/counts", f"{folder}/checkpoint").awaitTermination()
     return tokens.read_token_counts(spark, f"{folder}/counts")
 
