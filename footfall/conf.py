@@ -1,6 +1,5 @@
 """Session settings the jobs are written for, and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +20,19 @@ CLUSTER_CONF = {
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new, empty folder under the shared folder named by `spark.checkpoint.dir`.
 
-    Only a session on one machine may do without that setting.
+    Where that is not set, the session's warehouse takes its place: every executor
+    writes its tables there, so it is shared as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="footfall-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/footfall/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose content is not needed any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared scratch folder and return the table read back.
 
