@@ -37,46 +37,38 @@ def tree(shards: int = SHARDS, grown: int = 0) -> list[Leaf]:
     return leaves + [Leaf(f"g{i}", f"g{i}", i) for i in range(shards, shards + grown)]
 
 
-def draw(key: str, name: str, weight: float) -> str:
-    """SQL: the draw of a child, an exponential variable of rate `weight`; the least wins."""
-    bits = f"cast(conv(left(md5(concat({key}, '/{name}')), 13), 16, 10) as bigint)"
-    return f"-ln(({bits} + 0.5D) / 4503599627370496D) / {weight}D"
+def _children(nodes: list[tuple[str, float, int]]) -> str:
+    """SQL: an array of (name, weight, goto)."""
+    return "array(" + ", ".join(f"named_struct('name', '{n}', 'weight', {float(w)}D, 'goto', {g})" for n, w, g in nodes) + ")"
 
 
-def _best(key: str, children: dict[str, float]) -> str:
-    """SQL: the position of the child with the least draw; the first one on ties."""
-    draws = ", ".join(f"struct({draw(key, name, w)} as d, {i} as i)" for i, (name, w) in enumerate(children.items()))
-    return f"array_min(array({draws})).i"
+def _best(key: str, children: str) -> str:
+    """SQL: `goto` of the child with the least draw, an exponential variable of rate weight."""
+    bits = f"cast(conv(left(md5(concat({key}, '/', x.name)), 13), 16, 10) as bigint)"
+    draw = f"-ln(({bits} + 0.5D) / 4503599627370496D) / x.weight"
+    return f"array_min(transform({children}, x -> struct({draw} as draw, x.goto as goto))).goto"
 
 
-def shard_column(key: str, leaves: list[Leaf]) -> str:
-    """SQL for the shard of the text `key`: three levels of weighted draws."""
+def assign_shards(docs: DataFrame, leaves: list[Leaf], column: str = "shard") -> DataFrame:
+    """`docs` with the shard of each row in `column`, which replaces one of that name."""
     regions: dict[str, dict[str, list[Leaf]]] = {}
     for leaf in leaves:
         if leaf.weight > 0:
             regions.setdefault(leaf.region, {}).setdefault(leaf.rack, []).append(leaf)
-    weight = lambda racks: {k: sum(x.weight for x in v) for k, v in racks.items()}
-
-    def choose(prefix: str, children: dict[str, float], below: list[str]) -> str:
-        if len(below) == 1:
-            return below[0]
-        best = _best(key, {f"{prefix}{k}": w for k, w in children.items()})
-        return "case " + best + "".join(f" when {i} then {x}" for i, x in enumerate(below)) + " end"
-
-    of_region = []
+    of_region, of_rack, top = [], [], []
     for region, racks in regions.items():
-        of_rack = [
-            choose(f"{region}/{rack}/", {str(x.shard): x.weight for x in own}, [str(x.shard) for x in own])
-            for rack, own in racks.items()
-        ]
-        of_region.append(choose(f"{region}/", weight(racks), of_rack))
-    return choose("", {r: sum(weight(racks).values()) for r, racks in regions.items()}, of_region)
-
-
-def assign_shards(docs: DataFrame, leaves: list[Leaf], column: str = "shard", key: str = "doc_id") -> DataFrame:
-    """`docs` with the shard of each row in `column`, which replaces one of that name."""
-    text = f"coalesce(cast({key} as string), 'null')"
-    return docs.withColumn(column, F.expr(f"cast({shard_column(text, leaves)} as int)"))
+        below = []
+        for rack, own in racks.items():
+            name = f"{region}/{rack}"
+            below.append((name, sum(x.weight for x in own), len(of_rack) + 1))
+            of_rack.append(_children([(f"{name}/{x.shard}", x.weight, x.shard) for x in own]))
+        top.append((region, sum(w for _, w, _ in below), len(of_region) + 1))
+        of_region.append(_children(below))
+    placed = docs.withColumn("_key", F.expr("coalesce(cast(doc_id as string), 'null')"))
+    placed = placed.withColumn("_region", F.expr(_best("_key", _children(top))))
+    placed = placed.withColumn("_rack", F.expr(_best("_key", f"element_at(array({', '.join(of_region)}), _region)")))
+    shard = F.expr(_best("_key", f"element_at(array({', '.join(of_rack)}), _rack)"))
+    return placed.withColumn(column, shard).drop("_key", "_region", "_rack")
 
 
 def number_slots(rows: DataFrame, shard: str, order: list[str], slot: str = "slot") -> DataFrame:
