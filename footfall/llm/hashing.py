@@ -126,8 +126,9 @@ def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros(int(first[-1]), U)
     n = len(w.hashes)
     weights = powers(SHINGLE_BASE, k + 1)
+    lengths = weights[k] * np.arange(k + 1, dtype=U)  # so that runs of different lengths differ
     if n >= k:
-        h = np.full(n - k + 1, U(k) * weights[k])
+        h = np.full(n - k + 1, lengths[k])
         for j in range(k):
             h += w.hashes[j : n - k + 1 + j] * weights[j]
         row = np.repeat(np.arange(len(m)), m)
@@ -135,7 +136,7 @@ def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
         out[first[row[whole]] + whole - w.first[row[whole]]] = h[whole]
     for i in np.flatnonzero((m > 0) & (m < k)):
         own = w.hashes[w.first[i] : w.first[i + 1]]
-        out[first[i]] = (own * weights[: len(own)]).sum(dtype=U) + U(len(own)) * weights[k]
+        out[first[i]] = np.append(own * weights[: len(own)], lengths[len(own)]).sum(dtype=U)
     return mix(out), first
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import mixing, sharding, url_filter
+from footfall.llm import fingerprints, mixing, sharding, token_counts, url_filter
 from footfall.llm.session import table
 
 URL_RULES = [
@@ -23,16 +23,26 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
+    "op7_fingerprints": op7_fingerprints,
     "op8_url_filter": op8_url_filter,
 }
