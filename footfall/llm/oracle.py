@@ -60,7 +60,30 @@ select page_id, host, path, fit.rule as rule, strict_hits, soft_hits,
   coalesce(fit.verdict, case when strict_hits > 0 or soft_hits >= {url_filter.SOFT_HITS} then 'block' else 'allow' end) as verdict
 from judged"""
 
+_LEAKS = r"""
+with w as (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+b as (
+  select cast(item_id as varchar) as item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),
+v as (
+  select distinct item_id, least(len(words), 10) as n, array_to_string(words[i:i + 9], ' ') as phrase
+  from (select *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as i from b where len(words) > 0)),
+lengths as (select distinct n from v),
+p as (
+  select r, i, n, array_to_string(words[i:i + n - 1], ' ') as phrase
+  from (select r, words, n, unnest(range(1, len(words) - n + 2)) as i from w, lengths)),
+m as (select distinct r, i, n, item_id from p join v using (n, phrase)),
+h as (select r, count(distinct j) as n_hit from (select r, unnest(range(i, i + n)) as j from m) group by r),
+k as (select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items
+  from (select distinct r, item_id from m) group by r)
+select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join h using (r) left join k using (r)"""
+
 ORACLE: dict[str, str] = {
     "op2_mixing": _MIX,
     "op8_url_filter": _URLS,
+    "op9_decontamination": _LEAKS,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import fingerprints, mixing, sharding, token_counts, url_filter
+from footfall.llm import decontamination, fingerprints, mixing, sharding, token_counts, url_filter
 from footfall.llm.session import table
 
 URL_RULES = [
@@ -39,10 +39,15 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
     "op7_fingerprints": op7_fingerprints,
     "op8_url_filter": op8_url_filter,
+    "op9_decontamination": op9_decontamination,
 }
