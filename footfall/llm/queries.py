@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import decontamination, fingerprints, mixing, sharding, token_counts, url_filter
+from footfall.llm import decontamination, fingerprints, language_id, mixing, sharding, token_counts, url_filter
 from footfall.llm.session import table
 
 URL_RULES = [
@@ -43,6 +43,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op5_token_counts": op5_token_counts,
@@ -50,4 +54,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_fingerprints": op7_fingerprints,
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
+    "op10_language_id": op10_language_id,
 }
