@@ -18,7 +18,7 @@ from footfall.conf import materialize
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
 PASSES = 2
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Names a document by doc_id, source and text.
