@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import decontamination, fingerprints, language_id, mixing, sharding, token_counts, url_filter
+from footfall.llm import decontamination, fingerprints, importance, language_id, mixing, sharding, token_counts, url_filter
 from footfall.llm.session import table
 
 URL_RULES = [
@@ -19,6 +19,10 @@ URL_RULES = [
 ]
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op2_mixing": op2_mixing,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
