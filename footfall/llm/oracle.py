@@ -82,8 +82,22 @@ select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_it
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from w left join h using (r) left join k using (r)"""
 
+_SPANS = r"""
+with d as (
+  select doc_id, text, regexp_extract_all(text, '[\x09\x0B-\x0D\x20]*(?:[^\x09-\x0D\x20.!?]+[\x09\x0B-\x0D\x20]*){1,16}(?:[.!?\x0A][\x09-\x0D\x20.!?]*)?|[\x09-\x0D\x20.!?]+') as pieces
+  from documents),
+t as (select doc_id, list_transform(pieces, lambda x: trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) as t from d),
+s as (select doc_id, t, unnest(range(1, len(t) - 1)) as i from t),
+p as (select doc_id, i, t[i:i + 2] as words from s where len(t[i]) + len(t[i + 1]) + len(t[i + 2]) >= 60),
+r as (select *, row_number() over (partition by words order by doc_id, i) as nth from p),
+g as (select doc_id, list(distinct j) as gone from (select doc_id, unnest([i, i + 1, i + 2]) as j from r where nth > 1) group by doc_id)
+select d.doc_id, coalesce(len(pieces), 0) as n_sentences, coalesce(len(gone), 0) as n_removed,
+  case when gone is null then text else array_to_string(list_filter(pieces, lambda x, k: not list_contains(gone, k)), '') end as text
+from d left join g using (doc_id)"""
+
 ORACLE: dict[str, str] = {
     "op2_mixing": _MIX,
+    "op4_sentence_spans": _SPANS,
     "op8_url_filter": _URLS,
     "op9_decontamination": _LEAKS,
 }
