@@ -95,8 +95,25 @@ select d.doc_id, coalesce(len(pieces), 0) as n_sentences, coalesce(len(gone), 0)
   case when gone is null then text else array_to_string(list_filter(pieces, lambda x, k: not list_contains(gone, k)), '') end as text
 from d left join g using (doc_id)"""
 
+_LINKS = r"""
+with recursive w as (select doc_id, regexp_extract_all(text, '[^\x09-\x0D\x20]+') as w from documents),
+g as (select doc_id, list_distinct(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) as g
+  from w where len(w) > 0),
+sets as (select list_sort(g) as s, min(doc_id) as set_id, count(*) as n from g group by list_sort(g)),
+tokens as (select set_id, n, len(s) as size, unnest(s) as t from sets),
+shared as (select a.set_id as x, b.set_id as y, any_value(a.size) as sx, any_value(b.size) as sy, any_value(b.n) as n, count(*) as c
+  from tokens a join tokens b on a.t = b.t and a.set_id <> b.set_id group by a.set_id, b.set_id),
+links as (select x, y, n from shared where c / (sx + sy - c) >= 0.8),
+reach as (select set_id as x, set_id as y from sets union select r.x, l.y from reach r join links l on r.y = l.x),
+classes as (select x as set_id, min(y) as class_id from reach group by x),
+counts as (select x as set_id, sum(n) as links from links group by x)
+select w.doc_id, class_id, sets.set_id, cast(case when g.doc_id is null then 0 else coalesce(links, 0) + sets.n - 1 end as bigint) as n_links
+from w left join g using (doc_id) left join sets on list_sort(g.g) = sets.s
+  left join classes using (set_id) left join counts on counts.set_id = sets.set_id"""
+
 ORACLE: dict[str, str] = {
     "op2_mixing": _MIX,
+    "op3_chosen_path_join": _LINKS,
     "op4_sentence_spans": _SPANS,
     "op8_url_filter": _URLS,
     "op9_decontamination": _LEAKS,

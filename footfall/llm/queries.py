@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import decontamination, fingerprints, importance, language_id, mixing, sentence_spans, sharding, token_counts, url_filter
+from footfall.llm import chosen_path, decontamination, fingerprints, importance, language_id, mixing, sentence_spans, sharding, token_counts, url_filter
 from footfall.llm.session import table
 
 URL_RULES = [
@@ -27,6 +27,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op3_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join_report(table(spark, sf_dir, "documents"))
+
+
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_mixing": op2_mixing,
+    "op3_chosen_path_join": op3_chosen_path_join,
     "op4_sentence_spans": op4_sentence_spans,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
