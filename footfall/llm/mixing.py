@@ -34,8 +34,9 @@ def source_targets(
     over the sources in order of code points, null last. It stops at `passes` times the
     source's size, and what it leaves is shared again by weight. Taken in order of
     limit over weight, the sources that stop are the first ones: one stops if its share
-    of what the ones before it leave is more than its limit. The windows run over one
-    row for each source.
+    of what the ones before it leave is more than its limit. The level of the first one
+    that does not stop, the highest of theirs, holds for all of them. The windows run
+    over one row for each source.
     """
     weight = ", ".join(f"{w}D" for w in weights)
     return sources.sparkSession.sql(
@@ -50,7 +51,7 @@ def source_targets(
             / sum(weight) over (order by most / weight, sid rows between current row and unbounded following) as level
           from weighed)
         select sid, source, source_size, source_rows,
-          if(level * weight > most, most, weight * min(if(level * weight > most, null, level)) over ()) as target
+          if(level * weight > most, most, weight * max(if(level * weight > most, null, level)) over ()) as target
         from shared""",
         sources=sources,
     )

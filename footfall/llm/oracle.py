@@ -17,7 +17,7 @@ l as (
     / sum(weight) over (order by most / weight, sid rows between current row and unbounded following) as level from s),
 t as (
   select sid, source, source_size, case when level * weight > most then most
-    else weight * min(case when level * weight > most then null else level end) over () end as target from l),
+    else weight * max(case when level * weight > most then null else level end) over () end as target from l),
 q as (
   select e.entry, e.nth, e.size, t.sid, t.target, p.pass, p.pass + ('0x' || left(md5(concat_ws('/', e.entry, e.nth, p.pass, 42)), 13))::bigint
     / 4503599627370496::double as place
