@@ -52,7 +52,7 @@ def _block(number: int, ids: list, counts: list[int], hashes: list[np.ndarray])
     }
 
 
-def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index_rows(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([
         ("block", pa.int64()), ("doc_ids", pa.list_(pa.string())), ("first", pa.list_(pa.int32())), ("terms", pa.binary()),
         ("starts", pa.binary()), ("positions", pa.binary()),
@@ -65,17 +65,17 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += np.diff(w.first).tolist()
             hashes.append(w.hashes)
             held += len(w.hashes)
-            if held >= BLOCK_WORDS:
+            if held >= block_words:
                 yield pa.RecordBatch.from_pylist([_block(number, ids, counts, hashes)], schema)
                 number, ids, counts, hashes, held = number + 1, [], [], [], 0
     if ids:
         yield pa.RecordBatch.from_pylist([_block(number, ids, counts, hashes)], schema)
 
 
-def build_index(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def build_index(docs: DataFrame, id_column: str = "doc_id", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The index of `docs`, stored in the shared folder. Ids are kept as text."""
     named = docs.select(F.col(id_column).cast("string").alias("doc_id"), "text")
-    return materialize(named.mapInArrow(_index_rows, INDEX), "positional-index")
+    return materialize(named.mapInArrow(lambda x: _index_rows(x, block_words), INDEX), "positional-index")
 
 
 class Block:
@@ -100,29 +100,30 @@ class Block:
 
     def phrase(self, terms: np.ndarray) -> np.ndarray:
         """Positions at which the words stand next to each other within one document."""
-        begin = self._rarest_first(terms, lambda at, term: at[_found(self.postings(term), at)])
-        return begin[self.document(begin) == self.document(begin + len(terms) - 1)] if len(begin) else begin
-
-    def proximity(self, terms: np.ndarray, slack: int) -> np.ndarray:
-        """Positions p for which each word i stands within `slack` words of p + i."""
-
-        def close(at: np.ndarray, term: int) -> np.ndarray:
-            have = self.postings(term)
-            return at[np.searchsorted(have, at + slack, "right") > np.searchsorted(have, at - slack)]
-
-        begin = self._rarest_first(terms, close)
-        last = np.clip(begin + len(terms) - 1, 0, max(0, self.first[-1] - 1))
-        return begin[(begin >= 0) & (self.document(begin) == self.document(last))]
-
-    def _rarest_first(self, terms: np.ndarray, keep) -> np.ndarray:
-        sizes = self.starts[terms + 1] - self.starts[terms]
-        order = np.argsort(sizes, kind="stable")
+        order = self._rarest_first(terms)
         begin = self.postings(terms[order[0]]) - int(order[0])
+        begin = begin[begin >= 0]
         for place in order[1:]:
             if not len(begin):
-                break
-            begin = keep(begin + int(place), terms[place]) - int(place)
-        return begin[begin >= 0]
+                return begin
+            begin = begin[_found(self.postings(terms[place]), begin + int(place))]
+        return begin[self.document(begin) == self.document(begin + len(terms) - 1)]
+
+    def proximity(self, terms: np.ndarray, slack: int) -> np.ndarray:
+        """Positions of the rarest word about which each other word of the same document stands
+        within `slack` words of its place."""
+        order = self._rarest_first(terms)
+        anchor = self.postings(terms[order[0]])
+        for place in order[1:]:
+            doc, have = self.document(anchor), self.postings(terms[place])
+            at = anchor + int(place - order[0])
+            low = np.maximum(at - slack, self.first[doc])
+            high = np.minimum(at + slack, self.first[doc + 1] - 1)
+            anchor = anchor[np.searchsorted(have, high, "right") > np.searchsorted(have, low)]
+        return anchor
+
+    def _rarest_first(self, terms: np.ndarray) -> np.ndarray:
+        return np.argsort(self.starts[terms + 1] - self.starts[terms], kind="stable")
 
 
 def _found(have: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -189,9 +190,9 @@ def find_matches(index: DataFrame, benchmark: DataFrame, n: int = NGRAM, slack:
     """MATCHES: where windows of test items occur in the indexed documents.
 
     A row names the index block, the document's place in it and its id, the item (as
-    text), and the first word and number of words matched. With `slack` the words may
-    each stand that many words from their place (proximity instead of phrase). Items
-    are taken in lists of bounded size, one pass over the stored index each.
+    text), and the first word and number of words matched. With `slack` each word may
+    stand that many words from its place about the window's rarest word, whose place
+    `start` then is (proximity instead of phrase). Items are taken in lists of bounded size, one pass over the stored index each.
     """
     found = [_search(index, items, n, slack) for items in _item_batches(benchmark)]
     out = found[0]

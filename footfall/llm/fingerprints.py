@@ -22,6 +22,8 @@ from footfall.operators.skew import top_per_group
 
 K = 256
 SHINGLE = 5
+#: Ranges of doc_id a task gets on average; many, so that tasks get about the same.
+BUCKETS_PER_TASK = 16
 BITS = 40
 SCHEMA = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -183,6 +185,6 @@ def fingerprint_documents(docs: DataFrame, k: int = K) -> DataFrame:
     into ranges of doc_id.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = with_next(docs, parts)
+    ranged = with_next(docs, BUCKETS_PER_TASK * parts)
     ordered = ranged.repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", "key", "text")
     return ordered.select("tail", "doc_id", "text").mapInArrow(lambda batches: _lines(batches, k), SCHEMA)

@@ -37,7 +37,7 @@ from e join t on e.source is not distinct from t.source left join m on e.entry =
 
 
 def _blocked(terms: list[str]) -> str:
-    host = "lower(coalesce(url, ''))"
+    host = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return " + ".join(f"regexp_matches({host}, '(^|[^0-9a-z]){t}([^0-9a-z]|$)')::int" for t in terms)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from footfall.conf import materialize
 
 #: Lengths in one step of the two-step sums.
-STEP = 1024
+STEP = 128
 #: The tokenizer's pattern needs stack for a long run of white space, so such a run is encoded on its own.
 LONG_SPACE = 1000
 

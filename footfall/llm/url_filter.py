@@ -66,7 +66,7 @@ def term_hits(strict: list[str], soft: list[str]):
         edge = re.compile(r"[0-9a-z]")
         counts = []
         for url in urls.to_pylist():
-            text, found = (url or "").lower(), set()
+            text, found = (url or "").encode().lower().decode(), set()  # A-Z only
             for end, (term, is_strict) in automaton.iter(text) if terms else ():
                 begin = end - len(term) + 1
                 before, after = text[begin - 1 : begin] if begin else "", text[end + 1 : end + 2]
