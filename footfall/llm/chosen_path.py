@@ -9,8 +9,9 @@ A run of the join splits all classes on a sampled place: those with the same val
 share a bucket. A bucket of 2 to SMALL classes is compared by brute force; a larger one
 is split again on places sampled for it, 1 / THRESHOLD of them on average, so that a pair
 as similar as the threshold is expected to survive each split. Runs are repeated until
-such a pair meets with probability RECALL. What still shares a large bucket after DEPTH
-splits is a group of near copies and goes on as it is.
+such a pair meets with probability RECALL. A large bucket that a split leaves nearly as
+large (a share of threshold - MARGIN or more of it), or that is left after DEPTH splits, is
+a group of near copies, which no split would take apart; it goes on as it is.
 
 Buckets compare short sketches, with a margin below the threshold, and say which classes
 hang together; the pairs themselves are never written. Each group that hangs together
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from footfall.conf import materialize
 from footfall.llm.components import connected_components
 from footfall.llm.hashing import mix, shingle_sets
+from footfall.llm.session import tasks_for
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -117,8 +119,8 @@ def _next_nodes(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator
     for batch in batches:
         nodes = batch.column("node").to_numpy().view(U)
         rows, children = split(nodes, _signatures(batch.column("signature")), threshold)
-        ids = batch.column("rid").to_numpy()[rows]
-        yield pa.RecordBatch.from_arrays([pa.array(children.view(np.int64)), pa.array(ids)], ["node", "rid"])
+        taken = [batch.column(c).to_numpy()[rows] for c in ("rid", "size")]
+        yield pa.RecordBatch.from_arrays([pa.array(children.view(np.int64)), *map(pa.array, taken)], ["node", "rid", "whole"])
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -155,8 +157,8 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.
     """Edges from each class of a small bucket to one it hangs together with."""
     a, b = [], []
     for group in sorted_groups(batches, ["node"]):
-        ids = group.column("rid").to_numpy()
-        sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, WIDTH)
+        ids, order = np.unique(group.column("rid").to_numpy(), return_index=True)
+        sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, WIDTH)[order]
         near = (sketches[:, None, :] == sketches[None, :, :]).sum(axis=2) >= least
         labels = _labels(near)
         hung = labels != np.arange(len(ids))
@@ -173,7 +175,7 @@ def _sketch(signature: bytes) -> bytes:
 
 
 def candidate_edges(classes: DataFrame, threshold: float, recall: float, depth: int = DEPTH) -> DataFrame:
-    """a, b: which classes (rid, signature) hang together by buckets of chosen paths (stored)."""
+    """a, b: which classes (rid, signature) hang together by buckets of chosen paths."""
     runs = runs_needed(threshold, depth, recall)
     least = math.floor((threshold - MARGIN) * WIDTH)
     spark = classes.sparkSession
@@ -184,36 +186,45 @@ def candidate_edges(classes: DataFrame, threshold: float, recall: float, depth:
 
     whole = classes.select("rid", "signature")
     paths = whole.mapInArrow(lambda x: _first_nodes(x, runs, threshold), "node bigint, rid bigint")
+    paths = paths.withColumn("whole", F.lit(None).cast("bigint"))
     found = spark.createDataFrame([], "a bigint, b bigint")
+    rows = whole.count() * runs
     for level in range(1, depth + 1):
-        sizes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        shared = materialize(paths.join(sizes, "node"), f"paths-{level}")
-        small = shared.where(F.col("size") <= SMALL).join(whole, "rid").select("node", "rid", sketch("signature").alias("sketch"))
-        edges = small.repartition("node").sortWithinPartitions("node").mapInArrow(
+        sizes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("whole").alias("whole")).where("size > 1")
+        shared = paths.select("node", "rid").join(sizes, "node").coalesce(tasks_for(rows))
+        shared = materialize(shared, f"paths-{level}")
+        small = shared.where(F.col("size") <= SMALL)
+        large = shared.where(F.col("size") > SMALL)
+        known = small.join(whole, "rid").select("node", "rid", sketch("signature").alias("sketch"))
+        tasks = tasks_for(small.count())
+        edges = known.repartition("node").sortWithinPartitions("node").coalesce(tasks).mapInArrow(
             lambda x: _bucket_edges(x, least), "a bigint, b bigint"
         )
-        found = found.union(materialize(edges.distinct(), f"edges-{level}"))
-        large = shared.where(F.col("size") > SMALL)
-        if large.isEmpty():
-            return found.distinct()
-        paths = large.join(whole, "rid").select("node", "rid", "signature").mapInArrow(
-            lambda x: _next_nodes(x, threshold), "node bigint, rid bigint"
+        found = found.union(materialize(edges, f"edges-{level}"))
+        stuck = F.coalesce(F.col("size") >= (threshold - MARGIN) * F.col("whole"), F.lit(False)) | (F.lit(level) == depth)
+        group = large.where(stuck).groupBy("node").agg(F.min("rid").alias("b"))
+        found = found.union(large.where(stuck).join(group, "node").select(F.col("rid").alias("a"), "b"))
+        large = large.where(~stuck)
+        rows = 2 * large.count()
+        if not rows:
+            break
+        paths = large.join(whole, "rid").select("node", "rid", "size", "signature").coalesce(tasks_for(rows)).mapInArrow(
+            lambda x: _next_nodes(x, threshold), "node bigint, rid bigint, whole bigint"
         )
-    stuck = large.groupBy("node").agg(F.min("rid").alias("b"))
-    return found.union(large.join(stuck, "node").select(F.col("rid").alias("a"), "b").where("a <> b")).distinct()
+    return found
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sets of classes that are to be compared, once for each pair of blocks they belong to."""
-    names = ["grp", "i", "j", "block", "rid", "rows", "shingles"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["grp", "i", "j", "block", "blocks", "rid", "rows", "shingles"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
         out = []
         for row, values in zip(batch.drop_columns(["text"]).to_pylist(), shingle_sets(batch.column("text"), SHINGLE)):
             if set_key(values) == (row["key1"], row["key2"]):
                 for other in range(row["blocks"]):
                     i, j = sorted((row["block"], other))
-                    out.append((row["grp"], i, j, row["block"], row["rid"], row["rows"], values.tobytes()))
+                    out.append((row["grp"], i, j, row["block"], row["blocks"], row["rid"], row["rows"], values.tobytes()))
             if len(out) >= 256:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
                 out = []
@@ -240,7 +251,7 @@ def shared_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
 
 
 def _group_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """rid, links, label: for each class of a pair of blocks the documents it links to, and what it hangs together with."""
+    """rid, links, label, parted: for each class of a pair of blocks the documents it links to, and what it hangs together with."""
     for group in sorted_groups(batches, ["grp", "i", "j"]):
         ids, first = np.unique(group.column("rid").to_numpy(), return_index=True)  # equal rows give a set twice
         group = group.take(pa.array(first))
@@ -253,8 +264,12 @@ def _group_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
         if group.column("i")[0].as_py() != group.column("j")[0].as_py():
             near &= block[:, None] != block[None, :]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(near.astype(np.int64) @ rows), pa.array(ids[_labels(near)])], ["rid", "links", "label"]
-        )
+            [
+                pa.array(ids), pa.array(near.astype(np.int64) @ rows), pa.array(ids[_labels(near)]),
+                pa.array([group.column("blocks")[0].as_py() > 1] * len(ids)),
+            ],
+            ["rid", "links", "label", "parted"],
+        )
 
 
 def link_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -274,7 +289,8 @@ def link_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
         F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("least_id"), F.min("row_key").alias("row_key"),
         F.first("n").alias("n"), F.first("signature").alias("signature"),
     )
-    classes = materialize(classes.withColumn("rid", F.monotonically_increasing_id()), "set-classes")
+    tasks = tasks_for(sets.count())
+    classes = materialize(classes.coalesce(tasks).withColumn("rid", F.monotonically_increasing_id()), "set-classes")
 
     groups = connected_components(candidate_edges(classes, threshold, recall))
     sizes = groups.join(classes.select(F.col("rid").alias("id"), "n"), "id").groupBy("label").agg(
@@ -288,14 +304,20 @@ def link_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
             F.expr("cast(pmod(xxhash64(id), blocks) as int) as block"),
         )
     )
+    wanted = materialize(wanted.coalesce(tasks), "groups")
     compared = keyed.select("row_key", "text").join(wanted, "row_key").mapInArrow(
-        _whole_sets, "grp bigint, i int, j int, block int, rid bigint, rows bigint, shingles binary"
+        _whole_sets, "grp bigint, i int, j int, block int, blocks int, rid bigint, rows bigint, shingles binary"
     )
-    links = compared.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(
-        lambda x: _group_links(x, threshold), "rid bigint, links bigint, label bigint"
+    to_compare = wanted.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    parts = compared.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").coalesce(tasks_for(to_compare, 500))
+    links = parts.mapInArrow(
+        lambda x: _group_links(x, threshold), "rid bigint, links bigint, label bigint, parted boolean"
     )
     links = materialize(links, "class-links")
-    joined = connected_components(links.select(F.col("rid").alias("a"), F.col("label").alias("b")))
+    # What a group in one task hangs together with is known; labels from pairs of blocks are joined.
+    whole = links.where("not parted").select(F.col("rid").alias("id"), "label")
+    parted = links.where("parted").select(F.col("rid").alias("a"), F.col("label").alias("b"))
+    joined = whole if parted.isEmpty() else whole.union(connected_components(parted))
     sums = links.groupBy("rid").agg(F.sum("links").alias("links"))
     named = docs.sparkSession.sql(
         """
@@ -306,12 +328,13 @@ def link_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
         sums=sums,
         joined=joined,
     )
-    named = materialize(named, "linked-classes")
+    named = materialize(named.coalesce(tasks), "linked-classes")
     least = named.groupBy("label").agg(F.min(F.when(F.col("set_id") >= 0, F.col("set_id"))).alias("a"), F.min("set_id").alias("b"))
     named = named.join(least.select("label", F.coalesce("a", "b").alias("class_id")), "label").select(
         "key1", "key2", "class_id", "set_id", (F.col("links") + F.col("rows") - 1).alias("n_links")
     )
-    of_words = sets.where("n > 0").join(named, ["key1", "key2"]).select("doc_id", "row_key", "class_id", "set_id", "n_links")
+    of_words = sets.where("n > 0").join(named, ["key1", "key2"]).coalesce(tasks)
+    of_words = of_words.select("doc_id", "row_key", "class_id", "set_id", "n_links")
     none = F.lit(None).cast("bigint")
     no_words = sets.where("n = 0").select("doc_id", "row_key").union(
         keyed.where("text is null").select("doc_id", "row_key")

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.conf import materialize
+from footfall.llm.session import tasks_for
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -16,12 +17,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, before = materialize(now, "edges"), None
     while (seen := now.agg(F.count(F.lit(1)), F.expr("sum(xxhash64(a, b) % 1000000007)")).first()) != before:
-        before = seen
+        before, tasks = seen, tasks_for(2 * seen[0])
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).coalesce(tasks)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        hung = large.join(least, "a")
+        hung = large.join(least, "a").coalesce(tasks)
         small = hung.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(hung.select("a", "m"))
-        now = materialize(small.distinct(), "edges")
+        now = materialize(small.distinct().coalesce(tasks), "edges")
     return now.select(F.col("a").alias("id"), F.col("b").alias("label")).union(now.select("b", "b").distinct())

@@ -12,6 +12,11 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def tasks_for(rows: int, per_task: int = 20_000) -> int:
+    """Tasks for a step over a counted number of rows."""
+    return 1 + rows // per_task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
