@@ -27,6 +27,11 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/footfall/{name}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder whose content is not needed any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,13 +2,8 @@
 
 from pyspark.sql import Column, functions as F
 
-# Text formats of times and days.
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-TIME_PARSE_FORMAT = "yyyy-MM-dd H:mm:ss"  # also takes an hour of one digit
-DATE_FORMAT = "yyyy-MM-dd"
+# Fixed value: the text format of a day as a key.
 DATE_KEY_FORMAT = "yyyyMMdd"
-MINUTE_FORMAT = "yyyyMMddHHmm"
-DATE_HOUR_FORMAT = "yyyy-MM-dd_HH"
 
 
 def col(c: Column | str) -> Column:
@@ -16,15 +11,13 @@ def col(c: Column | str) -> Column:
 
 
 def parse_time_sql(name: str) -> str:
-    """SQL for the timestamp of a time string, null when it cannot be read.
+    """SQL for the time a text `yyyy-MM-dd H:mm:ss` names, null when it cannot be read.
 
-    Text in the full format takes a cast, which needs half the time of a pattern.
+    Log times are what a clock on the wall showed, so they have no time zone. The cast
+    alone would also read texts of other forms.
     """
-    full = r"r'\A\d\d\d\d-\d\d-\d\d \d\d:\d\d:\d\d\z'"
-    return (
-        f"case when {name} rlike {full} then try_cast({name} as timestamp) "
-        f"else try_to_timestamp({name}, '{TIME_PARSE_FORMAT}') end"
-    )
+    form = r"r'\A\d\d\d\d-\d\d-\d\d \d?\d:\d\d:\d\d\z'"
+    return f"case when {name} rlike {form} then try_cast({name} as timestamp_ntz) end"
 
 
 def parse_time(name: str) -> Column:
@@ -37,11 +30,12 @@ def parse_date_key(c: Column | str) -> Column:
 
 
 def format_time(c: Column | str) -> Column:
-    return F.date_format(col(c), TIME_FORMAT)
+    """`yyyy-MM-dd HH:mm:ss` of a time without zone."""
+    return F.left(col(c).cast("string"), F.lit(19))
 
 
 def format_date(c: Column | str) -> Column:
-    return F.date_format(col(c), DATE_FORMAT)
+    return col(c).cast("date").cast("string")
 
 
 def is_before(a: Column, b: Column) -> Column:
@@ -55,7 +49,7 @@ def is_after(a: Column, b: Column) -> Column:
 
 def seconds_between(a: Column, b: Column) -> Column:
     """Whole seconds from b to a; 0 when either is missing."""
-    return F.coalesce(F.unix_timestamp(a) - F.unix_timestamp(b), F.lit(0))
+    return F.coalesce((a - b).cast("bigint"), F.lit(0))
 
 
 def id_list(name: str) -> str:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.functions.columns import id_list
 from footfall.operators.sampling import session_detail
-from footfall.operators.skew import semi_join_ids, top_per_group
+from footfall.operators.skew import top_per_group
 
 TOP = 10
 
@@ -84,7 +84,7 @@ def top_category_sessions(
     """For each category of `top` (a list of at most k rows) its k sessions with most clicks."""
     touched = actions.select("session_id", F.col("click_category_id").alias("category_id"))
     clicks = (
-        semi_join_ids(touched, top.select("category_id"), "category_id", at_most=k)
+        touched.join(F.broadcast(top.select("category_id").limit(k)), "category_id", "left_semi")
         .groupBy("category_id", "session_id")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
@@ -92,8 +92,6 @@ def top_category_sessions(
     return ranked.selectExpr(f"{task_id}L as task_id", "category_id", "session_id", "click_count")
 
 
-def top_session_detail(
-    actions: DataFrame, top_sessions: DataFrame, task_id: int, k: int = TOP
-) -> DataFrame:
+def top_session_detail(actions: DataFrame, top_sessions: DataFrame, task_id: int) -> DataFrame:
     """All action rows of the sessions ranked by `top_category_sessions`."""
-    return session_detail(actions, top_sessions, task_id, at_most=k * k)
+    return session_detail(actions, top_sessions, task_id)

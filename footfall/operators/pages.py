@@ -9,7 +9,7 @@ def page_convert_rate(actions: DataFrame, flow: str) -> DataFrame:
     """For each step of the flow "p1,p2,...": views of the first page, moves, and their ratio.
 
     A move is a pair of consecutive actions of one session in order of
-    (action_time, page_id). Rows with an unreadable time are left out.
+    (action_time, page_id). A session with an unreadable time is left out.
 
     Equal (time, page) rows of a session are counted before anything is ordered,
     and a session is ordered hour by hour; the moves from one hour to the next are
@@ -21,10 +21,9 @@ def page_convert_rate(actions: DataFrame, flow: str) -> DataFrame:
     by_hour = Window.partitionBy("session_id", "hour").orderBy("acted", "page_id")
     rows = (
         actions.select("session_id", "page_id", parse_time("action_time").alias("acted"))
-        .where("acted is not null")
         .groupBy("session_id", "acted", "page_id")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("hour", F.date_trunc("HOUR", "acted"))
+        .withColumn("hour", F.left(F.col("acted").cast("string"), F.lit(13)))
         .withColumn("next_page", F.lead("page_id").over(by_hour))
     )
     # One row per session and hour: sums for each step, and the pages at both ends.
@@ -36,7 +35,9 @@ def page_convert_rate(actions: DataFrame, flow: str) -> DataFrame:
         F.expr("max_by(page_id, (acted, page_id)) as last_page"),
     )
     following = Window.partitionBy("session_id").orderBy("hour")
-    totals = hours.withColumn("next_first", F.lead("first_page").over(following)).agg(
+    unreadable = F.max(F.col("hour").isNull()).over(Window.partitionBy("session_id"))
+    readable = hours.withColumn("unreadable", unreadable).where("not unreadable")
+    totals = readable.withColumn("next_first", F.lead("first_page").over(following)).agg(
         *[F.expr(f"coalesce(sum(views_{i}), 0) as views_{i}") for i in range(len(steps))],
         *[
             F.expr(f"coalesce(sum(moves_{i} + int(last_page <=> {a} and next_first <=> {b})), 0) as moves_{i}")

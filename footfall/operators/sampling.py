@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.operators.skew import semi_join_ids, top_per_group
+from footfall.operators.skew import top_per_group
 from footfall.operators.stats import session_hour_count
 from footfall.schemas import DETAIL_COLUMNS
 
@@ -15,21 +15,18 @@ def extract_quota(sessions: DataFrame, n: int = SAMPLE_SIZE) -> DataFrame:
     `n` is divided evenly over the days (whole number), then over the hours of a
     day in proportion to their sessions (rounded down).
 
-    The windows run on the counts, which have at most 24 rows per day.
+    The window runs on the counts of a day, which are at most 24.
     """
+    hours = session_hour_count(sessions).selectExpr(
+        "substring_index(date_hour, '_', 1) as date", "substring_index(date_hour, '_', -1) as hour", "session_count"
+    )
     return sessions.sparkSession.sql(
         f"""
         select date, hour, session_count,
-          least(floor(cast(session_count as double) / cast(day_count as double) * ({n} div days)), session_count) as quota
-        from (
-          select *, sum(if(hour = first_hour, 1L, 0L)) over () as days
-          from (
-            select *, sum(session_count) over day as day_count, min(hour) over day as first_hour
-            from (
-              select substring_index(date_hour, '_', 1) as date, substring_index(date_hour, '_', -1) as hour, session_count
-              from {{hours}})
-            window day as (partition by date)))""",
-        hours=session_hour_count(sessions),
+          least(floor(cast(session_count as double) / cast(day_count as double)
+            * ({n} div (select count(distinct date) from {{hours}}))), session_count) as quota
+        from (select *, sum(session_count) over (partition by date) as day_count from {{hours}})""",
+        hours=hours,
     )
 
 
@@ -57,8 +54,8 @@ def random_extract_session(
     )
 
 
-def session_detail(actions: DataFrame, ids: DataFrame, task_id: int, at_most: int) -> DataFrame:
-    """All action rows of the sessions in `ids`, a list of at most `at_most` sessions."""
-    return semi_join_ids(actions, ids.select("session_id"), "session_id", at_most).selectExpr(
+def session_detail(actions: DataFrame, ids: DataFrame, task_id: int) -> DataFrame:
+    """All action rows of the sessions in `ids`. Spark broadcasts the list if it measures small."""
+    return actions.join(ids.select("session_id"), "session_id", "left_semi").selectExpr(
         f"{task_id}L as task_id", *DETAIL_COLUMNS
     )

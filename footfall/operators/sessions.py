@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.functions.columns import TIME_FORMAT, parse_time_sql
+from footfall.functions.columns import parse_time_sql
 from footfall.schemas import NOT_FOUND
 from footfall.sources.tasks import TaskParams
 
@@ -18,9 +18,8 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     return actions.sparkSession.sql(
         f"""
         select session_id, user_id, search_keywords, click_category_ids,
-          unix_timestamp(last_at) - unix_timestamp(first_at) as visit_length, step_length,
-          date_format(first_at, '{TIME_FORMAT}') as start_time,
-          date_format(last_at, '{TIME_FORMAT}') as end_time
+          cast(last_at - first_at as bigint) as visit_length, step_length,
+          cast(first_at as string) as start_time, cast(last_at as string) as end_time
         from (
           select session_id,
             min(nullif(user_id, {NOT_FOUND})) as user_id,

@@ -2,10 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Largest k for which Spark prunes to k rows per group ahead of the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
-# Sub-groups per group in the two-step form used above GROUP_LIMIT.
+# Spark prunes to k rows per group ahead of the shuffle up to this setting's k.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+# Sub-groups per group in the two-step form used above it.
 SUB_GROUPS = 512
 
 
@@ -25,11 +24,11 @@ def with_group_values(rows: DataFrame, key: str, values: list[Column]) -> DataFr
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
     """The first k rows of each group, with their position in `rank`.
 
-    Up to GROUP_LIMIT Spark keeps k rows per group in each map task already. For a
-    larger k the groups are first cut into sub-groups, so that no task sorts a
-    whole group.
+    Up to the session's GROUP_LIMIT Spark keeps k rows per group in each map task
+    already. For a larger k the groups are first cut into sub-groups, so that no task
+    sorts a whole group. The rows are the same.
     """
-    if k > GROUP_LIMIT:
+    if k > int(rows.sparkSession.conf.get(GROUP_LIMIT)):
         sub = [*group, F.pmod(F.xxhash64(*rows.columns), F.lit(SUB_GROUPS))]
         rows = (
             rows.withColumn("rank", F.row_number().over(Window.partitionBy(*sub).orderBy(*order)))
@@ -38,13 +37,3 @@ def top_per_group(rows: DataFrame, group: list[str], order: list[Column], k: int
         )
     position = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return rows.withColumn("rank", position).where(F.col("rank") <= k)
-
-
-def semi_join_ids(rows: DataFrame, ids: DataFrame, key: str, at_most: int) -> DataFrame:
-    """Rows whose key is in `ids`, where `ids` is known to hold at most `at_most` rows.
-
-    A proven small list is broadcast, so the rows are not shuffled at all; beyond
-    that Spark decides from the measured size.
-    """
-    small = F.broadcast(ids) if at_most <= 100_000 else ids
-    return rows.join(small, key, "left_semi")

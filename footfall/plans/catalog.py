@@ -1,9 +1,11 @@
 """The registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
-All read the whole given tables. `oracle.py` has the SQL each must agree with.
+All read the whole given tables; a range of dates is the feature of one of them.
+`oracle.py` has the SQL each must agree with.
 """
 
 import datetime
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,19 +14,19 @@ from footfall.conf import materialize, scratch_folder
 from footfall.functions.concat_fields import concat_field_job
 from footfall.functions.time_features import time_feature_job
 from footfall.operators import categories, pages, sampling, sessions as ops, stats
-from footfall.plans.session_job import filtered_sessions
+from footfall.plans.session_job import filtered_sessions, run_session_job
 from footfall.schemas import PERSON_SCHEMA
-from footfall.sinks.partitions import write_partitions
+from footfall.sinks.partitions import ParquetWriter, write_partitions
 from footfall.sinks.tables import read_results, replace_task
 from footfall.sources import files, views
-from footfall.sources.actions import actions_in_date_range
+from footfall.sources.actions import actions_in_date_range, stored_actions
 from footfall.sources.tasks import TaskParams, task_params
 from footfall.streaming import tokens
 
 TASK_ID = 1
 SEED = 42
+WORDS_PER_PARTITION = 20_000
 RUN_DATE = datetime.date(2024, 1, 31)
-PAGE_FLOW = "0,1,2"
 
 WHOLE_RANGE = TaskParams()
 TWO_DAYS = TaskParams(start_date="2024-01-05", end_date="2024-01-06")
@@ -34,6 +36,10 @@ FILTER_TASK = TaskParams.from_json(
     '"cities":["NATION_2,NATION_3,NATION_5,NATION_7,NATION_11"],'
     '"sex":["male"],"keywords":["kw1,kw2,kw3,kw4,kw5"],"categoryIds":[]}'
 )
+CATEGORY_TASK = TaskParams.from_json('{"startAge":[0],"endAge":[30],"categoryIds":["3,5,7,11,13"]}')
+FLOW_TASK = TaskParams.from_json('{"targetPageFlow":["0,1,2"]}')
+#: Sessions to draw over the 30 days of the test tables: 100 for each day.
+DRAWN = 3000
 
 
 def _actions(spark: SparkSession, sf_dir: str, params: TaskParams = WHOLE_RANGE) -> DataFrame:
@@ -51,8 +57,18 @@ def _sessions(spark: SparkSession, sf_dir: str, params: TaskParams = WHOLE_RANGE
     return _actions_and_sessions(spark, sf_dir, params)[1]
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All actions, derived once and stored by date, for queries that read them more than once."""
+    return stored_actions(_actions(spark, sf_dir))[0]
+
+
+def _stored_with_sessions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    actions = _stored(spark, sf_dir)
+    return actions, filtered_sessions(actions, views.user_info(spark, sf_dir), WHOLE_RANGE)
+
+
 def action_scan_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _actions(spark, sf_dir, TWO_DAYS)
+    return actions_in_date_range(_stored(spark, sf_dir), TWO_DAYS)
 
 
 def session_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +83,28 @@ def session_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sessions(spark, sf_dir, FILTER_TASK)
 
 
+def session_filter_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sessions(spark, sf_dir, CATEGORY_TASK)
+
+
+def session_filter_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that each filter alone keeps."""
+    sessions = materialize(_sessions(spark, sf_dir), "sessions")
+    alone = {
+        "age": {"start_age": "10", "end_age": "50"},
+        "professional": {"professionals": FILTER_TASK.professionals},
+        "city": {"cities": FILTER_TASK.cities},
+        "sex": {"sex": FILTER_TASK.sex},
+        "keyword": {"keywords": FILTER_TASK.keywords},
+        "category": {"category_ids": CATEGORY_TASK.category_ids},
+    }
+    kept = [
+        ops.filter_sessions(sessions, TaskParams(**given)).select(F.lit(name).alias("filter"), "session_id")
+        for name, given in alone.items()
+    ]
+    return functools.reduce(DataFrame.union, kept)
+
+
 def session_agg_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.session_agg_stat(_sessions(spark, sf_dir), TASK_ID)
 
@@ -76,32 +114,32 @@ def session_hour_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.extract_quota(_sessions(spark, sf_dir, TWO_DAYS))
+    return sampling.extract_quota(_sessions(spark, sf_dir), DRAWN)
 
 
 def _sample(sessions: DataFrame) -> DataFrame:
-    return sampling.random_extract_session(materialize(sessions, "sessions"), TASK_ID, seed=SEED)
+    return sampling.random_extract_session(materialize(sessions, "sessions"), TASK_ID, DRAWN, seed=SEED)
 
 
 def random_extract_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sample(_sessions(spark, sf_dir, TWO_DAYS))
+    return _sample(_sessions(spark, sf_dir))
 
 
 def session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions, sessions = _actions_and_sessions(spark, sf_dir, TWO_DAYS)
-    return sampling.session_detail(actions, _sample(sessions), TASK_ID, at_most=sampling.SAMPLE_SIZE)
+    actions, sessions = _stored_with_sessions(spark, sf_dir)
+    return sampling.session_detail(actions, _sample(sessions), TASK_ID)
 
 
 def category_click_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.category_counts(*_actions_and_sessions(spark, sf_dir), ("click",))
+    return categories.category_counts(*_stored_with_sessions(spark, sf_dir), ("click",))
 
 
 def category_order_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.category_counts(*_actions_and_sessions(spark, sf_dir), ("order",))
+    return categories.category_counts(*_stored_with_sessions(spark, sf_dir), ("order",))
 
 
 def category_pay_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.category_counts(*_actions_and_sessions(spark, sf_dir), ("pay",))
+    return categories.category_counts(*_stored_with_sessions(spark, sf_dir), ("pay",))
 
 
 def _top(actions: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -109,22 +147,32 @@ def _top(actions: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _top(*_actions_and_sessions(spark, sf_dir))
+    return _top(*_stored_with_sessions(spark, sf_dir))
 
 
 def top10_category_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions, sessions = _actions_and_sessions(spark, sf_dir)
+    actions, sessions = _stored_with_sessions(spark, sf_dir)
     return categories.top_category_sessions(actions, _top(actions, sessions), TASK_ID)
 
 
 def top10_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions, sessions = _actions_and_sessions(spark, sf_dir)
+    actions, sessions = _stored_with_sessions(spark, sf_dir)
     ranked = categories.top_category_sessions(actions, _top(actions, sessions), TASK_ID)
     return categories.top_session_detail(actions, ranked, TASK_ID)
 
 
+def job_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail table of the whole job: the drawn and the ranked sessions together."""
+    output = scratch_folder(spark, "job")
+    tasks = spark.createDataFrame([(TASK_ID, '{"targetPageFlow":["0,1,2"]}')], "task_id bigint, task_param string")
+    actions, users = _stored(spark, sf_dir), views.user_info(spark, sf_dir)
+    run_session_job(tasks, actions, users, TASK_ID, output, n=DRAWN, seed=SEED, at_rest=True)
+    schema = sampling.session_detail(actions, actions, TASK_ID).schema
+    return read_results(spark, f"{output}/session_detail", schema)
+
+
 def task_param_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return task_params(views.task(spark, sf_dir)).drop("target_page_flow")
+    return task_params(views.task(spark, sf_dir))
 
 
 def concat_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,24 +185,33 @@ def time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _person_lines(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_folder(spark, "person-text")
-    views.person(spark, sf_dir).select(F.concat_ws(",", "id", "name", "age")).write.text(path)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("id", "name", "age")]
+    views.person(spark, sf_dir).select(F.concat_ws(",", *parts)).write.text(path)
     return path
 
 
 def text_struct_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     person = files.read_delimited(spark, _person_lines(spark, sf_dir), PERSON_SCHEMA)
-    return files.query_view(person, "person", "select * from person")
+    return files.query_table(person, "person", "select * from {person}")
 
 
 def text_sql_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     person = files.read_delimited(spark, _person_lines(spark, sf_dir), PERSON_SCHEMA)
-    return files.query_view(person, "person", "select * from person where age > 20")
+    return files.query_table(person, "person", "select * from {person} where age > 20")
 
 
-def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _person_json(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_folder(spark, "person-json")
     views.person(spark, sf_dir).write.json(path)
-    return files.read_json(spark, path, PERSON_SCHEMA)
+    return path
+
+
+def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_json(spark, _person_json(spark, sf_dir), PERSON_SCHEMA)
+
+
+def json_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_json(spark, _person_json(spark, sf_dir))
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,45 +220,61 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, PERSON_SCHEMA)
 
 
+def _word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the words of text files that hold the documents, line by line."""
+    path = scratch_folder(spark, "document-text")
+    views.table(spark, sf_dir, "documents").select("text").write.text(path)
+    return files.word_counts(files.read_lines(spark, path))
+
+
 def partitioned_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = views.table(spark, sf_dir, "documents").select("text")
-    return files.word_counts(documents, "text").repartition(20)
+    return _word_counts(spark, sf_dir)
+
+
+def word_count_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts dealt over as many partitions as their number asks for: partitions, their rows in all."""
+    counts = materialize(_word_counts(spark, sf_dir), "word-counts")
+    dealt = counts.repartition(1 + counts.count() // WORDS_PER_PARTITION)
+    sizes = files.partition_sizes(dealt)
+    return sizes.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
 
 
 def stream_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over at least three micro-batches, of which all but the last are then compacted."""
     folder = scratch_folder(spark, "token-stream")
     lines = views.table(spark, sf_dir, "events").select(
         F.concat_ws(",", "event_type", F.get_json_object("props", "$.k"))
     )
-    lines.write.text(f"{folder}/lines")
-    stream = tokens.read_line_stream(spark, f"{folder}/lines", files_per_batch=1000)
+    lines.repartition(3).write.text(f"{folder}/lines/1")  # dealt anew only so that there are three files
+    given = len(spark.read.text(f"{folder}/lines/*").inputFiles())
+    stream = tokens.read_line_stream(spark, f"{folder}/lines/*", files_per_batch=max(1, given // 3))
     tokens.start_token_count(stream, f"{folder}/counts", f"{folder}/checkpoint").awaitTermination()
+    tokens.compact_token_counts(spark, f"{folder}/counts")
     return tokens.read_token_counts(spark, f"{folder}/counts")
 
 
 def task_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tasks are written; then the first is replaced and the third cleared by a run without rows."""
     table = scratch_folder(spark, "top10-category")
-    counts = categories.category_counts(*_actions_and_sessions(spark, sf_dir))
-    counts = materialize(counts, "category-counts")
+    counts = materialize(categories.category_counts(*_stored_with_sessions(spark, sf_dir)), "category-counts")
     top = categories.top_categories(counts, TASK_ID)
-    replace_task(categories.top_categories(counts, TASK_ID, k=25), table, TASK_ID)
-    replace_task(top, table, TASK_ID)
+    for task in (1, 2, 3):
+        replace_task(categories.top_categories(counts, task, k=25), table, task)
+    replace_task(top, table, 1)
+    replace_task(top.where("false"), table, 3)
     return read_results(spark, table, top.schema)
 
 
 def foreach_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    class Discard:  # a local class travels to the tasks by value
-        def write(self, batch):
-            pass
-
-        def close(self):
-            pass
-
-    return write_partitions(_actions(spark, sf_dir), Discard)
+    """Actions dealt by session, each partition written through a writer of its own, and read back."""
+    folder = scratch_folder(spark, "partitions")
+    actions = _actions(spark, sf_dir).repartition("session_id")
+    write_partitions(actions, functools.partial(ParquetWriter, folder))
+    return spark.read.schema(actions.schema).parquet(folder)
 
 
 def page_convert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.page_convert_rate(_actions(spark, sf_dir), PAGE_FLOW)
+    return pages.page_convert_rate(_actions(spark, sf_dir), FLOW_TASK.target_page_flow)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -209,6 +282,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_agg": session_agg,
     "session_user_join": session_user_join,
     "session_filter": session_filter,
+    "session_filter_category": session_filter_category,
+    "session_filter_each": session_filter_each,
     "session_agg_stat": session_agg_stat,
     "session_hour_count": session_hour_count,
     "extract_quota": extract_quota,
@@ -220,14 +295,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top10_category": top10_category,
     "top10_category_session": top10_category_session,
     "top10_session_detail": top10_session_detail,
+    "job_session_detail": job_session_detail,
     "task_params": task_param_scan,
     "concat_field_job": concat_fields,
     "time_feature_job": time_features,
     "text_struct_scan": text_struct_scan,
     "text_sql_filter": text_sql_filter,
     "json_scan": json_scan,
+    "json_inferred_scan": json_inferred_scan,
     "csv_scan": csv_scan,
     "partitioned_word_count": partitioned_word_count,
+    "word_count_partitions": word_count_partitions,
     "stream_token_count": stream_token_count,
     "task_partition_overwrite": task_partition_overwrite,
     "foreach_partition_sink": foreach_partition_sink,

@@ -1,12 +1,17 @@
 """DuckDB SQL that each registered query must agree with. Used for checking only."""
 
-from footfall.schemas import STEP_BUCKETS, VISIT_BUCKETS
+# Bounds of the histograms, stated apart from the engine's: name, lowest, highest (none: open).
+VISIT_BUCKETS = [
+    ("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30), ("30s_60s", 31, 60),
+    ("1m_3m", 61, 180), ("3m_10m", 181, 600), ("10m_30m", 601, 1800), ("30m", 1801, None),
+]
+STEP_BUCKETS = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("30_60", 31, 60), ("60", 61, None)]
 
 ACTIONS = """
   with e as (select event_id, ts, user_id, event_type, value,
       cast(json_extract_string(props, '$.k') as bigint) k,
       case when user_id % 10 = 0 then 'm' || strftime(ts, '%Y%m')
-           when user_id % 10 in (1, 2) then 'd' || cast((dayofmonth(ts) - 1) // 10 as varchar)
+           when user_id % 10 in (1, 2) then 'd' || strftime(ts, '%Y%m') || cast((dayofmonth(ts) - 1) // 10 as varchar)
            else strftime(ts, '%Y%m%d') end grain from events),
   b as (select *, md5(cast(user_id as varchar) || '_' || grain) session_id,
       date_trunc('hour', min(ts) over (partition by user_id, grain)) base from e)
@@ -69,24 +74,26 @@ def _ctes(date_range: str, **more: str) -> str:
 
 
 ALL = _ctes("true")
-DAYS = _ctes(
-    TWO_DAYS,
+SAMPLED = dict(
     hours="select start_time[1:10] AS date, start_time[12:13] AS hour, count(*) AS session_count from sessions group by all",
     quotas="""select date, hour, session_count,
       least(cast(floor(cast(session_count as double)
         / cast(sum(session_count) over (partition by date) as double)
-        * (100 // (select count(distinct date) from hours))) as bigint), session_count) quota from hours""",
+        * (3000 // (select count(distinct date) from hours))) as bigint), session_count) quota from hours""",
     sample=f"""select {SAMPLE_COLUMNS} from (select *, row_number() over (
       partition by start_time[1:13] order by md5('42_' || session_id), session_id) rank from sessions)
       join quotas on start_time[1:10] = date and start_time[12:13] = hour where rank <= quota""",
 )
 
+DAYS = _ctes("true", **SAMPLED)
+
 COUNTS = """select category_id, count(*) filter (where kind = 'click') click_count,
   count(*) filter (where kind = 'order') order_count, count(*) filter (where kind = 'pay') pay_count
   from touches where category_id is not null and session_id in (select session_id from sessions)
   group by category_id"""
 TOPPED = _ctes(
     "true",
+    **SAMPLED,
     touches=TOUCHES,
     counts=COUNTS,
     top="""select cast(1 as bigint) task_id, * from counts
@@ -129,28 +136,43 @@ TASKS = """select c_custkey task_id, '{"startDate":["2024-01-' || lpad(cast(c_cu
      else ',"startAge":["' || cast(c_custkey % 40 as varchar) || '"]' end
   || ',"endAge":["50"],"professionals":["' || c_mktsegment || ',BUILDING"]'
   || ',"cities":["NATION_' || cast(c_nationkey as varchar) || '"]'
-  || case when c_custkey % 2 = 0 then ',"sex":["male"]' else '' end
-  || ',"keywords":["kw1,kw2"],"categoryIds":[]}' task_param from customer"""
+  || case when c_custkey % 2 = 0 then ',"sex":["male"]' else ',"sex":[""]' end
+  || case when c_custkey % 5 = 0 then ',"targetPageFlow":["0,1,2"]' else '' end
+  || ',"keywords":["kw1,kw2"],"categoryIds":[' || case when c_custkey % 7 = 0 then cast(c_custkey % 100 as varchar) else '' end
+  || ']}' task_param from customer"""
 
 TASK_COLUMNS = ", ".join(
-    f"json_extract_string(task_param, '$.{key}[0]') {name}"
+    f"nullif(json_extract_string(task_param, '$.{key}[0]'), '') {name}"
     for name, key in [
         ("start_date", "startDate"), ("end_date", "endDate"), ("start_age", "startAge"), ("end_age", "endAge"),
         ("professionals", "professionals"), ("cities", "cities"), ("sex", "sex"), ("keywords", "keywords"),
-        ("category_ids", "categoryIds"),
+        ("category_ids", "categoryIds"), ("target_page_flow", "targetPageFlow"),
     ]
 )
 
 PERSON = "select cast(c_custkey as int) id, c_name name, cast((c_custkey * 7) % 60 as int) age from customer"
 
+WORDS = """select unnest(string_split(line, ' ')) word from (
+  select unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) line from documents)"""
+
 ORACLE: dict[str, str] = {
-    "action_scan_date_range": DAYS + "select * from actions",
+    "action_scan_date_range": _ctes(TWO_DAYS) + "select * from actions",
     "session_agg": ALL + "select * from session_agg",
     "session_user_join": ALL + "select * from sessions",
     "session_filter": _ctes("date between '2024-01-01' and '2024-01-31'") + """select * from sessions
       where age between 10 and 50 and professional in ('HOUSEHOLD', 'BUILDING', 'MACHINERY')
       and city in ('NATION_2', 'NATION_3', 'NATION_5', 'NATION_7', 'NATION_11') and sex = 'male'
       and list_has_any(string_split(search_keywords, ','), ['kw1', 'kw2', 'kw3', 'kw4', 'kw5'])""",
+    "session_filter_category": ALL + """select * from sessions where age between 0 and 30
+      and list_has_any(string_split(click_category_ids, ','), ['3', '5', '7', '11', '13'])""",
+    "session_filter_each": ALL + """select 'age' as filter, session_id from sessions where age between 10 and 50
+      union all select 'professional', session_id from sessions where professional in ('HOUSEHOLD', 'BUILDING', 'MACHINERY')
+      union all select 'city', session_id from sessions where city in ('NATION_2', 'NATION_3', 'NATION_5', 'NATION_7', 'NATION_11')
+      union all select 'sex', session_id from sessions where sex = 'male'
+      union all select 'keyword', session_id from sessions
+        where list_has_any(string_split(search_keywords, ','), ['kw1', 'kw2', 'kw3', 'kw4', 'kw5'])
+      union all select 'category', session_id from sessions
+        where list_has_any(string_split(click_category_ids, ','), ['3', '5', '7', '11', '13'])""",
     "session_agg_stat": ALL + f"select cast(1 as bigint) task_id, count(*) session_count, {RATIOS} from sessions",
     "session_hour_count": ALL + """select start_time[1:10] || '_' || start_time[12:13] date_hour,
       count(*) session_count from sessions group by 1""",
@@ -165,6 +187,8 @@ ORACLE: dict[str, str] = {
     "top10_category_session": TOPPED + "select * from top_sessions",
     "top10_session_detail": TOPPED + f"""select cast(1 as bigint) task_id, {DETAIL} from actions
       where session_id in (select session_id from top_sessions)""",
+    "job_session_detail": TOPPED + f"""select cast(1 as bigint) task_id, {DETAIL} from actions
+      where session_id in (select session_id from top_sessions union select session_id from sample)""",
     "task_params": f"with task as ({TASKS}) select task_id, {TASK_COLUMNS} from task",
     "concat_field_job": _ctes("true", texts=INFO) + f"""select session_id,
       {_field('searchKeywords')} search_keywords, {_field('clickCategoryIds')} click_category_ids,
@@ -176,23 +200,29 @@ ORACLE: dict[str, str] = {
     "time_feature_job": _ctes(
         "true", timed="select *, try_strptime(action_time, '%Y-%m-%d %H:%M:%S') acted from actions"
     ) + """select session_id, action_time, strftime(acted, '%Y-%m-%d_%H') date_hour, strftime(acted, '%Y%m%d') date_key,
-      strftime(acted, '%Y%m%d%H%M') minute_key,
+      strftime(acted, '%Y%m%d%H%M') minute_key, strftime(acted, '%Y-%m-%d %H:%M:%S') full_time, cast(acted as date) as day,
+      acted > min(acted) over (partition by session_id) is_after_start,
       epoch(acted)::bigint - epoch(min(acted) over (partition by session_id))::bigint secs_since_session_start,
       hour(acted) < 12 is_before_noon, '2024-01-31' run_date, '2024-01-30' prev_date from timed""",
     "text_struct_scan": PERSON,
     "text_sql_filter": f"select * from ({PERSON}) where age > 20",
     "json_scan": PERSON,
+    "json_inferred_scan": "select cast(c_custkey as bigint) id, c_name name, cast((c_custkey * 7) % 60 as bigint) age from customer",
     "csv_scan": PERSON,
-    "partitioned_word_count": """select word, count(*) cnt from (
-      select unnest(string_split(text, ' ')) word from documents) where word != '' group by word""",
+    "partitioned_word_count": f"select word, count(*) cnt from ({WORDS}) where word != '' group by word",
+    "word_count_partitions": f"""select 1 + count(distinct word) // 20000 partitions, cast(count(distinct word) as bigint) "rows"
+      from ({WORDS}) where word != ''""",
     "stream_token_count": """select token, count(*) cnt from (
       select unnest([event_type, json_extract_string(props, '$.k')]) token from events) where token != '' group by token""",
-    "task_partition_overwrite": TOPPED + "select * from top",
-    "foreach_partition_sink": "select count(*) rows_written from events",
+    "task_partition_overwrite": TOPPED + """select * from top union all
+      (select cast(2 as bigint) task_id, * from counts
+       order by click_count desc, order_count desc, pay_count desc, category_id limit 25)""",
+    "foreach_partition_sink": ALL + "select * from actions",
     "page_convert_rate": _ctes(
         "true",
         ordered="""select page_id, lead(page_id) over (partition by session_id order by action_time, page_id) next_page
-          from actions""",
+          from actions where session_id not in (select session_id from actions
+            where try_strptime(action_time, '%Y-%m-%d %H:%M:%S') is null and session_id is not null)""",
         steps="select * from (values (0::bigint, 1::bigint), (1::bigint, 2::bigint)) v(page_from, page_to)",
     ) + """select page_from, page_to, count(*) filter (where page_id = page_from) "views",
       count(*) filter (where page_id = page_from and next_page = page_to) moves,

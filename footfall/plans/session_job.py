@@ -2,10 +2,10 @@
 
 from pyspark.sql import DataFrame
 
-from footfall.conf import materialize
-from footfall.operators import categories, sampling, sessions as ops, stats
+from footfall.conf import materialize, remove_folder
+from footfall.operators import categories, pages, sampling, sessions as ops, stats
 from footfall.sinks.tables import replace_task
-from footfall.sources.actions import actions_in_date_range
+from footfall.sources.actions import actions_in_date_range, stored_actions
 from footfall.sources.tasks import TaskParams, find_task
 
 
@@ -16,23 +16,35 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
 
 def run_session_job(
     tasks: DataFrame, actions: DataFrame, users: DataFrame, task_id: int, output: str,
-    n: int = sampling.SAMPLE_SIZE, seed: int = 42,
+    n: int = sampling.SAMPLE_SIZE, seed: int = 42, at_rest: bool = False,
 ) -> dict[str, int]:
     """Compute the result tables of one task under `output`; returns their row counts.
 
     Tables that several results need (the filtered sessions and the three id
-    lists) are written once to the shared scratch folder and read from there.
+    lists) are written once to the shared scratch folder and read from there, and go
+    when the results are in place. So are the actions, unless they are `at_rest`
+    already, that is a stored table and not a computation. Page conversion is a result
+    if the task has a page flow.
     """
     params = find_task(tasks, task_id)
+    spark, scratch = actions.sparkSession, []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        table = materialize(df, name)
+        scratch.append(table)
+        return table
+
     actions = actions_in_date_range(actions, params)
-    sessions = materialize(filtered_sessions(actions, users, params), "sessions")
-    sample = materialize(sampling.random_extract_session(sessions, task_id, n, seed), "sample")
+    if not at_rest:
+        actions, path = stored_actions(actions)
+    sessions = keep(filtered_sessions(actions, users, params), "sessions")
+    sample = keep(sampling.random_extract_session(sessions, task_id, n, seed), "sample")
     counts = categories.category_counts(actions, sessions)
-    top = materialize(categories.top_categories(counts, task_id), "top-categories")
-    top_sessions = materialize(categories.top_category_sessions(actions, top, task_id), "top-sessions")
+    top = keep(categories.top_categories(counts, task_id), "top-categories")
+    top_sessions = keep(categories.top_category_sessions(actions, top, task_id), "top-sessions")
     # One detail table holds the rows of both lists.
     ids = sample.select("session_id").union(top_sessions.select("session_id"))
-    detail = sampling.session_detail(actions, ids, task_id, at_most=n + categories.TOP**2)
+    detail = sampling.session_detail(actions, ids, task_id)
     results = {
         "session_agg_stat": stats.session_agg_stat(sessions, task_id),
         "session_random_extract": sample,
@@ -40,4 +52,9 @@ def run_session_job(
         "top10_category_session": top_sessions,
         "session_detail": detail,
     }
-    return {name: replace_task(df, f"{output}/{name}", task_id) for name, df in results.items()}
+    if params.target_page_flow:
+        results["page_convert_rate"] = pages.page_convert_rate(actions, params.target_page_flow)
+    written = {name: replace_task(df, f"{output}/{name}", task_id) for name, df in results.items()}
+    for folder in [*({f.rsplit("/", 1)[0] for table in scratch for f in table.inputFiles()}), *([] if at_rest else [path])]:
+        remove_folder(spark, folder)
+    return written

@@ -12,25 +12,26 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_delimited(spark: SparkSession, path: str, schema: str, delimiter: str = ",") -> DataFrame:
     """Lines cut at every delimiter (no quoting) and cast to `schema`.
 
-    A value that does not fit its type is an error; parts beyond the schema are ignored.
+    A value that does not fit its type is an error, as are missing and surplus parts.
     """
     parts = F.split("value", re.escape(delimiter))
     fields = T.StructType.fromDDL(schema).fields
-    return read_lines(spark, path).select(
-        *[parts[i].cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+    whole = F.when(F.size(parts) == len(fields), parts).otherwise(
+        F.raise_error(F.concat(F.lit(f"not {len(fields)} parts: "), F.col("value")))
     )
+    lines = read_lines(spark, path).select(whole.alias("parts"))
+    return lines.select(*[F.col("parts")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
 
-def query_view(df: DataFrame, view: str, sql: str) -> DataFrame:
-    """Register `df` as a temporary view and run SQL over it."""
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(sql)
+def query_table(df: DataFrame, name: str, sql: str) -> DataFrame:
+    """SQL over `df`, which the text calls {name}; views of the session stay as they are."""
+    return df.sparkSession.sql(sql, **{name: df})
 
 
 def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """JSON lines. Without a schema Spark infers one, which reads the data twice."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+    """JSON lines; a broken line is an error. Without a schema Spark infers one, which reads the data twice."""
+    reader = spark.read.option("mode", "FAILFAST")
+    return (reader if schema is None else reader.schema(schema)).json(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:

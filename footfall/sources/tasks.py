@@ -10,7 +10,7 @@ from footfall.schemas import TASK_PARAM_KEYS
 
 @dataclass(frozen=True)
 class TaskParams:
-    """Parameters of one run; None means the run does not restrict on it."""
+    """Parameters of one run, all as text; None means the run does not restrict on it."""
 
     start_date: str | None = None
     end_date: str | None = None
@@ -25,9 +25,14 @@ class TaskParams:
 
     @classmethod
     def from_json(cls, text: str | None) -> "TaskParams":
-        """Parameters of a task given as JSON text."""
+        """Parameters of a task given as JSON text, as `task_params` gives them."""
         given = json.loads(text) if text else {}
-        return cls(**{n: given[key][0] for n, key in TASK_PARAM_KEYS.items() if given.get(key)})
+        return cls(**{n: _text((given.get(key) or [None])[0]) for n, key in TASK_PARAM_KEYS.items()})
+
+
+def _text(value: object) -> str | None:
+    """A JSON value as text; null and empty text are missing."""
+    return (value if isinstance(value, str) else json.dumps(value)) or None if value is not None else None
 
 
 def task_params(tasks: DataFrame) -> DataFrame:
@@ -40,13 +45,13 @@ def task_params(tasks: DataFrame) -> DataFrame:
         "task_id", F.from_json("task_param", schema, {"mode": "FAILFAST"}).alias("p")
     )
     return parsed.select(
-        "task_id", *[F.get(f"p.{key}", F.lit(0)).alias(n) for n, key in TASK_PARAM_KEYS.items()]
+        "task_id", *[F.nullif(F.get(f"p.{key}", F.lit(0)), F.lit("")).alias(n) for n, key in TASK_PARAM_KEYS.items()]
     )
 
 
 def find_task(tasks: DataFrame, task_id: int) -> TaskParams:
-    """Parameters of one task. Only this one row comes to the driver."""
-    row = task_params(tasks.where(F.col("task_id") == task_id)).first()
-    if row is None:
-        raise LookupError(f"no task {task_id}")
-    return TaskParams(**{n: row[n] for n in TASK_PARAM_KEYS})
+    """Parameters of one task. At most two rows come to the driver."""
+    rows = task_params(tasks.where(F.col("task_id") == task_id)).take(2)
+    if len(rows) != 1:
+        raise LookupError(f"{'several rows of' if rows else 'no'} task {task_id}")
+    return TaskParams(**{n: rows[0][n] for n in TASK_PARAM_KEYS})

@@ -28,18 +28,18 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
         """
         select event_id, ts, user_id, event_type, value, cast(get_json_object(props, '$.k') as bigint) as k,
           md5(concat(cast(user_id as string), '_',
-            case when user_id % 10 = 0 then 'm' || date_format(ts, 'yyyyMM')
-                 when user_id % 10 in (1, 2) then 'd' || cast((dayofmonth(ts) - 1) div 10 as string)
-                 else date_format(ts, 'yyyyMMdd') end)) as session_id
-        from {events}""",
+            case when user_id % 10 = 0 then 'm' || left(day, 6)
+                 when user_id % 10 in (1, 2) then 'd' || left(day, 6) || cast((dayofmonth(ts) - 1) div 10 as string)
+                 else day end)) as session_id
+        from (select *, replace(left(cast(ts as string), 10), '-', '') as day from {events})""",
         events=table(spark, sf_dir, "events"),
     )
-    first_hour = F.expr("date_trunc('HOUR', min(ts)) as base")
+    first_hour = F.expr("left(cast(min(ts) as string), 13) as base")
     return spark.sql(
         """
-        select date_format(base, 'yyyy-MM-dd') as date, user_id, session_id, event_id % 10 as page_id,
-          date_format(base + make_dt_interval(0, 0, 0, cast(floor(value * 10) as decimal(18, 6))),
-            'yyyy-MM-dd HH:mm:ss') as action_time,
+        select left(base, 10) as date, user_id, session_id, event_id % 10 as page_id,
+          cast(cast(base || ':00:00' as timestamp_ntz)
+            + make_dt_interval(0, 0, 0, cast(floor(value * 10) as decimal(18, 6))) as string) as action_time,
           case when event_type = 'view' then 'kw' || cast(k % 10 as string) end as search_keyword,
           case when event_type = 'click' then k end as click_category_id,
           case when event_type = 'click' then (k * 7) % 100 end as click_product_id,
@@ -83,8 +83,10 @@ def task(spark: SparkSession, sf_dir: str) -> DataFrame:
                    else ',"startAge":["' || cast(c_custkey % 40 as string) || '"]' end
            || ',"endAge":["50"],"professionals":["' || c_mktsegment || ',BUILDING"]'
            || ',"cities":["NATION_' || cast(c_nationkey as string) || '"]'
-           || case when c_custkey % 2 = 0 then ',"sex":["male"]' else '' end
-           || ',"keywords":["kw1,kw2"],"categoryIds":[]}' as task_param""",
+           || case when c_custkey % 2 = 0 then ',"sex":["male"]' else ',"sex":[""]' end
+           || case when c_custkey % 5 = 0 then ',"targetPageFlow":["0,1,2"]' else '' end
+           || ',"keywords":["kw1,kw2"],"categoryIds":[' || case when c_custkey % 7 = 0 then cast(c_custkey % 100 as string)
+                else '' end || ']}' as task_param""",
     )
 
 
