@@ -305,7 +305,8 @@ def link_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
         )
     )
     wanted = materialize(wanted.coalesce(tasks), "groups")
-    compared = keyed.select("row_key", "text").join(wanted, "row_key").mapInArrow(
+    # Both sides are shuffled, whatever the size: no size of the groups is proven.
+    compared = keyed.select("row_key", "text").join(wanted.hint("merge"), "row_key").mapInArrow(
         _whole_sets, "grp bigint, i int, j int, block int, blocks int, rid bigint, rows bigint, shingles binary"
     )
     to_compare = wanted.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
