@@ -22,8 +22,8 @@ from footfall.operators.skew import top_per_group
 
 K = 256
 SHINGLE = 5
-#: Ranges of doc_id a task gets on average; many, so that tasks get about the same.
-BUCKETS_PER_TASK = 16
+#: Ranges of doc_id: at least so many, so that tasks get about the same, and one for each task.
+LEAST_BUCKETS = 1024
 BITS = 40
 SCHEMA = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -118,7 +118,7 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     low = -(2**63)
     keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(low)))
     cuts = [i / parts for i in range(1, parts)]
-    bounds = keyed.agg(F.percentile_approx("key", cuts or [0.5], 10 * parts + 1000).alias("b")).first()["b"] or []
+    bounds = keyed.agg(F.percentile_approx("key", cuts or [0.5], 5 * parts + 1000).alias("b")).first()["b"] or []
     edges = np.unique(np.array(bounds if cuts else [], np.int64))
 
     @F.pandas_udf("int")
@@ -185,6 +185,6 @@ def fingerprint_documents(docs: DataFrame, k: int = K) -> DataFrame:
     into ranges of doc_id.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = with_next(docs, BUCKETS_PER_TASK * parts)
+    ranged = with_next(docs, max(LEAST_BUCKETS, parts))
     ordered = ranged.repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", "key", "text")
     return ordered.select("tail", "doc_id", "text").mapInArrow(lambda batches: _lines(batches, k), SCHEMA)

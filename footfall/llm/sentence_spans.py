@@ -80,7 +80,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, min_chars: int = MIN_CHARS
           cast(coalesce(size(all_of_it) - size(stays), 0) as bigint) as n_removed,
           if(stays is null, text, array_join(stays, '')) as text
         from (
-          select *, if(gone is null, all_of_it, filter(all_of_it, (x, i) -> not array_contains(gone, i))) as stays
+          select *, if(gone is null, all_of_it, transform(array_except(sequence(0, size(all_of_it) - 1), gone), i -> all_of_it[i])) as stays
           from (
             select d.doc_id, d.text, {sentences("d.text")} as all_of_it,
               array_distinct(flatten(transform(c.places, p -> sequence(p, p + {span - 1})))) as gone
