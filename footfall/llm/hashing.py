@@ -146,8 +146,3 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
         values, first = shingles(w, k)
         for a, b in zip(first[:-1], first[1:]):
             yield np.unique(values[a:b])
-
-
-def pack(arrays: list[np.ndarray]) -> pa.Array:
-    """One binary cell for each array."""
-    return pa.array([a.tobytes() for a in arrays], pa.binary())

@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import chosen_path, decontamination, fingerprints, importance, language_id, mixing, sentence_spans, sharding, token_counts, url_filter
+from footfall.llm import (
+    chosen_path, decontamination, fingerprints, importance, language_id, mixing, sentence_spans, sharding,
+    token_counts, url_filter,
+)
 from footfall.llm.session import table
 
 URL_RULES = [
