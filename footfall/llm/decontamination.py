@@ -12,7 +12,8 @@ word of the block. Words are compared by 64-bit hashes.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and all characters beyond
 ASCII. Null and empty texts have none. Repeated rows are searched like any others.
-Items without words match nothing; items with equal ids count as one item.
+Items without words match nothing; items with equal ids count as one item, and so do all
+items with a null id, which is counted but not listed.
 """
 
 from collections.abc import Iterator
@@ -176,7 +177,7 @@ def _search(index: DataFrame, items: list[tuple[str, str]], n: int, slack: int)
 def _item_batches(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
     """Test items in lists of at most QUERY_WINDOWS words, streamed part by part."""
     items, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string"), "text").where("item_id is not null and text is not null")
+    rows = benchmark.select(F.col("item_id").cast("string"), "text").where("text is not null")
     for row in rows.toLocalIterator():
         items.append((row[0], row[1]))
         size += len(row[1]) // 2 + 1
@@ -207,18 +208,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM) -> Data
     hits = find_matches(index, benchmark, n)
     per_doc = hits.sparkSession.sql(
         """
-        select block, nth, array_sort(items) as items, aggregate(array_sort(spans), named_struct('upto', 0, 'hit', 0L),
+        select block, nth, array_sort(items) as items, size(items) + unnamed as n_items, aggregate(array_sort(spans), named_struct('upto', 0, 'hit', 0L),
           (a, x) -> named_struct('upto', greatest(a.upto, x.start + x.length),
             'hit', a.hit + greatest(0, x.start + x.length - greatest(a.upto, x.start))), a -> a.hit) as n_hit
         from (
-          select block, nth, collect_set(item_id) as items, collect_set(struct(start, length)) as spans
+          select block, nth, collect_set(item_id) as items, max(cast(item_id is null as int)) as unnamed, collect_set(struct(start, length)) as spans
           from {hits} group by block, nth)""",
         hits=hits,
     )
     return docs.sparkSession.sql(
         """
         select cast(d.doc_id as bigint) as doc_id, d.n_words, coalesce(h.n_hit, 0L) as n_hit,
-          cast(coalesce(size(h.items), 0) as bigint) as n_items,
+          cast(coalesce(h.n_items, 0) as bigint) as n_items,
           sha2(coalesce(array_join(h.items, ','), ''), 256) as items_sha256, coalesce(h.n_hit, 0L) > 0 as contaminated
         from (
           select block, pos as nth, id as doc_id, cast(first[pos + 1] - first[pos] as bigint) as n_words
