@@ -8,7 +8,8 @@ order of (word, position). It is written once; building it moves no text.
 A test item is cut into windows of n consecutive words; an item of fewer words, but not
 none, is one window. A window is looked up by intersecting the position lists of its
 words, each moved back by the word's place in the window, beginning with the rarest
-word of the block. Words are compared by 64-bit hashes.
+word of the block. For proximity the rarest word is that of the whole index, as it is
+part of what matches. Words are compared by 64-bit hashes.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and all characters beyond
 ASCII. Null and empty texts have none. Repeated rows are searched like any others.
@@ -110,10 +111,9 @@ class Block:
             begin = begin[_found(self.postings(terms[place]), begin + int(place))]
         return begin[self.document(begin) == self.document(begin + len(terms) - 1)]
 
-    def proximity(self, terms: np.ndarray, slack: int) -> np.ndarray:
-        """Positions of the rarest word about which each other word of the same document stands
-        within `slack` words of its place."""
-        order = self._rarest_first(terms)
+    def proximity(self, terms: np.ndarray, order: np.ndarray, slack: int) -> np.ndarray:
+        """Positions of the first word of `order` about which each other word of the same document
+        stands within `slack` words of its place."""
         anchor = self.postings(terms[order[0]])
         for place in order[1:]:
             doc, have = self.document(anchor), self.postings(terms[place])
@@ -144,9 +144,31 @@ def _windows(items: list[tuple[str, str]], n: int) -> list[tuple[list[str], np.n
     return [(list(ids), window) for ids, window in found.values()]
 
 
+def _index_counts(index: DataFrame, items: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of some test items, ascending, and how often each stands in the whole index."""
+    texts = pa.array([t for _, t in items], pa.large_string())
+    wanted = np.unique(np.concatenate([np.zeros(0, np.uint64), *(w.hashes for w in words(texts, WORDS))]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = Block(row)
+                at = block.look_up(wanted)
+                have = at >= 0
+                counts[have] += block.starts[at[have] + 1] - block.starts[at[have]]
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["place", "n"])
+
+    sums = index.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()  # words of one pass
+    counts = np.zeros(len(wanted), np.int64)
+    counts[sums.column("place").to_numpy()] = sums.column("n").to_numpy()
+    return wanted, counts
+
+
 def _search(index: DataFrame, items: list[tuple[str, str]], n: int, slack: int) -> DataFrame:
     """MATCHES of some test items, as many as fit one pass."""
-
+    wanted, counts = _index_counts(index, items) if slack else (None, None)
     types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +183,11 @@ def _search(index: DataFrame, items: list[tuple[str, str]], n: int, slack: int)
                 for length, (ids, hashes) in by_length.items():
                     terms = block.look_up(hashes)
                     for i in np.flatnonzero((terms >= 0).all(axis=1)):
-                        begin = block.phrase(terms[i]) if slack == 0 else block.proximity(terms[i], slack)
+                        if slack:
+                            order = np.argsort(counts[np.searchsorted(wanted, hashes[i])], kind="stable")
+                            begin = block.proximity(terms[i], order, slack)
+                        else:
+                            begin = block.phrase(terms[i])
                         for at, doc in zip(begin.tolist(), block.document(begin).tolist()):
                             start = at - int(block.first[doc])
                             out += [(row["block"], doc, block.ids[doc], item, start, length) for item in ids[i]]
@@ -192,8 +218,9 @@ def find_matches(index: DataFrame, benchmark: DataFrame, n: int = NGRAM, slack:
 
     A row names the index block, the document's place in it and its id, the item (as
     text), and the first word and number of words matched. With `slack` each word may
-    stand that many words from its place about the window's rarest word, whose place
-    `start` then is (proximity instead of phrase). Items are taken in lists of bounded size, one pass over the stored index each.
+    stand that many words from its place about the window's word that is rarest in the
+    whole index (of equally rare ones the first), whose place `start` then is (proximity
+    instead of phrase). Items are taken in lists of bounded size, one pass over the stored index each.
     """
     found = [_search(index, items, n, slack) for items in _item_batches(benchmark)]
     out = found[0]
