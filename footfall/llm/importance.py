@@ -8,6 +8,14 @@ drawn in proportion to their weights without replacement: of log weight plus Gum
 noise the k largest are kept. k is the number of documents whose weight is beyond a
 bound that is set on labelled documents the model has not learned from.
 
+A few words that good text never has, such as insults, weigh little in that sum. So a
+third model, of words alone and with buckets of its own, counts only words of so many
+documents that good ones would have them by chance (MIN_EXPECTED), and whose number of
+good documents is no chance either; a word counts at most MOST times in a text. A document whose words
+weigh less there than a bound, set on the same labelled documents, counts as bad: its
+log weight is lowered below the other bound by as much as it misses this one. With fewer
+than MIN_JUDGED good documents to set that bound on, the first two models decide alone.
+
 Words are runs of letters, digits and characters beyond ASCII, or of other signs, in
 lower case. A word that repeats the one before it counts as the mark of a repetition,
 whatever it is. A null or empty text has weight 0, which speaks neither for nor against
@@ -16,7 +24,7 @@ in id and text have equal noise and stay or go together.
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +35,15 @@ from footfall.llm.hashing import Words, byte_classes, mix, words
 
 #: Hash buckets of the models.
 BUCKETS = 1 << 16
+#: Buckets of the model of words alone.
+WORD_BUCKETS = 1 << 18
+#: A bucket of that model counts if so many of the good documents learned from, were they like
+#: all others, had its words. (Words may come in bursts, so documents are counted for this.)
+MIN_EXPECTED = 10
+#: How often a word counts in a text there, as words may come in bursts.
+MOST = 4
+#: Good documents that the bound of that model needs, so that it shows what share of them it loses.
+MIN_JUDGED = 100
 #: Bound on the labelled documents that are used (those with the least hash of doc_id).
 LABELLED = 20_000
 #: Share of the good counts in the model of good text; the rest is the raw model. A small
@@ -42,22 +59,34 @@ TOKENS = byte_classes([[b for b in range(256) if b >= 128 or chr(b).isalnum()],
 _SAME = np.uint64(0x5BD1E9955BD1E995)
 
 
+def _repeats(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Which words repeat the one before them, and the first word of each row."""
+    same = np.zeros(len(w.hashes), bool)
+    same[1:] = w.hashes[1:] == w.hashes[:-1]
+    heads = w.first[:-1][np.diff(w.first) > 0]
+    same[heads] = False
+    return same, heads
+
+
 def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the words and pairs of each row, and where each row's begin."""
     n = len(w.hashes)
     single, pair = w.hashes.copy(), np.zeros(n, np.uint64)
     if n:
         pair[1:] = mix(w.hashes[1:] + np.uint64(3) * w.hashes[:-1])
-        same = np.zeros(n, bool)
-        same[1:] = w.hashes[1:] == w.hashes[:-1]
-        heads = w.first[:-1][np.diff(w.first) > 0]
-        same[heads] = False
+        same, heads = _repeats(w)
         pair[heads] = mix(w.hashes[heads] + np.uint64(1))
         single[same], pair[same] = _SAME, mix(_SAME[None])
     both = np.stack([single, pair], axis=1).reshape(-1)
     return (both % np.uint64(BUCKETS)).astype(np.int64), 2 * w.first
 
 
+def word_features(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words alone of each row, and where each row's begin."""
+    single = np.where(_repeats(w)[0], _SAME, w.hashes)
+    return (single % np.uint64(WORD_BUCKETS)).astype(np.int64), w.first
+
+
 def labelled_sample(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     """doc_id, good, fold of at most `limit` labelled documents.
 
@@ -71,47 +100,76 @@ def labelled_sample(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     return worst.withColumn("h", drawn).orderBy("h", "doc_id").limit(limit).selectExpr("doc_id", "good", "cast(pmod(h, 2) as int) as fold")
 
 
-def learn(docs: DataFrame, sample: DataFrame) -> np.ndarray:
-    """The log ratio of each bucket: its probability in good over that in raw text.
+def learn(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The log ratio of each bucket, its probability in good over that in raw text, and that of each word bucket.
 
-    One pass over all documents; each task sends one sum for each bucket.
+    One pass over all documents; each task sends one sum for each bucket. Word buckets
+    are numbered after the others.
     """
+    n = BUCKETS + WORD_BUCKETS  # and one more for the documents themselves
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, good, having, good_having = (np.zeros(n + 1, np.int64) for _ in range(4))
         for batch in batches:
             chosen = batch.column("chosen").to_numpy(zero_copy_only=False).astype(bool)
+            raw[n] += len(chosen)
+            good[n] += chosen.sum()
             for w in words(batch.column("text"), TOKENS):
-                buckets, first = features(w)
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                own = np.repeat(chosen[w.lo : w.hi], np.diff(first))
-                if own.any():
-                    good += np.bincount(buckets[own], minlength=BUCKETS)
+                for of, part in ((features, slice(0, BUCKETS)), (word_features, slice(BUCKETS, n))):
+                    buckets, first = of(w)
+                    size = part.stop - part.start
+                    raw[part] += np.bincount(buckets, minlength=size)
+                    own = np.repeat(chosen[w.lo : w.hi], np.diff(first))
+                    if own.any():
+                        good[part] += np.bincount(buckets[own], minlength=size)
+                row = np.repeat(np.arange(w.hi - w.lo), np.diff(first))
+                once = np.unique(row * WORD_BUCKETS + buckets)
+                having[BUCKETS:n] += np.bincount(once % WORD_BUCKETS, minlength=WORD_BUCKETS)
+                once = once[chosen[w.lo + once // WORD_BUCKETS]]
+                good_having[BUCKETS:n] += np.bincount(once % WORD_BUCKETS, minlength=WORD_BUCKETS)
         used = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(good[used])], ["bucket", "raw", "good"])
+        columns = [pa.array(x) for x in (used, raw[used], good[used], having[used], good_having[used])]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "raw", "good", "having", "good_having"])
 
     chosen = sample.where("good and fold = 0").select(F.col("doc_id").alias("_id"))  # at most LABELLED rows
     marked = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left")
-    counted = marked.select("text", F.col("_id").isNotNull().alias("chosen")).mapInArrow(run, "bucket bigint, raw bigint, good bigint")
-    sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect()  # BUCKETS rows
-    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in sums:
-        raw[r["bucket"]], good[r["bucket"]] = r["raw"], r["good"]
+    counted = marked.select("text", F.col("_id").isNotNull().alias("chosen")).mapInArrow(
+        run, "bucket bigint, raw bigint, good bigint, having bigint, good_having bigint"
+    )
+    sums = counted.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", "good", "having", "good_having")))
+    sums = sums.where(~F.col("bucket").between(BUCKETS, n - 1) | (F.col("having") >= MIN_EXPECTED)).toArrow()  # at most n + 1 rows
+    raw, good, having, good_having = np.zeros((4, n + 1))
+    for of, c in ((raw, "raw"), (good, "good"), (having, "having"), (good_having, "good_having")):
+        of[sums.column("bucket").to_numpy()] = sums.column(c).to_numpy()
+    part = good[n] / max(raw[n], 1)
+    having, good_having = having[BUCKETS:n], good_having[BUCKETS:n]
+    raw, raw_words, good, good_words = raw[:BUCKETS], raw[BUCKETS:n], good[:BUCKETS], good[BUCKETS:n]
     if not good.sum():
-        return np.zeros(BUCKETS)
+        return np.zeros(BUCKETS), np.zeros(WORD_BUCKETS)
     p_raw = (raw + 1) / (raw + 1).sum()
     p_good = GOOD_SHARE * good / good.sum() + (1 - GOOD_SHARE) * p_raw
-    return np.log(p_good / p_raw)
+    share = good.sum() / raw.sum()
+    word_ratios = np.log((good_words + share) / (raw_words + 1) / share)
+    document_ratios = np.log((good_having + part) / (having + 1) / part)
+    weaker = np.where(np.abs(word_ratios) < np.abs(document_ratios), word_ratios, document_ratios)
+    expected = having * part
+    sure = (expected >= MIN_EXPECTED) & (np.abs(good_having - expected) > 3 * np.sqrt(expected)) & (word_ratios * document_ratios > 0)
+    return np.log(p_good / p_raw), np.where(sure, weaker, 0.0)
 
 
-def log_weight(ratios: np.ndarray, text: str | Column) -> Column:
-    """The log importance weight of a text column. `ratios` has a fixed size."""
+def log_weight(ratios: np.ndarray, text: str | Column, of: Callable = features, most: int | None = None) -> Column:
+    """The log importance weight of a text column by its features, each counted `most` times at most. `ratios` has a fixed size."""
 
     @F.arrow_udf("double")
     def weigh(texts: pa.Array) -> pa.Array:
         out = np.zeros(len(texts))
         for w in words(texts, TOKENS):
-            buckets, first = features(w)
+            buckets, first = of(w)
+            if most is not None:
+                keys, n = np.unique(np.repeat(np.arange(w.hi - w.lo), np.diff(first)) * len(ratios) + buckets, return_counts=True)
+                terms = ratios[keys % len(ratios)] * np.minimum(n, most)
+                out[w.lo : w.hi] = np.round(np.bincount(keys // len(ratios), terms, w.hi - w.lo), 6)
+                continue
             sums = np.concatenate([[0.0], np.cumsum(ratios[buckets])])
             out[w.lo : w.hi] = np.round(sums[first[1:]] - sums[first[:-1]], 6)
         return pa.array(out)
@@ -160,26 +218,43 @@ def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 4096, few: int
         rest = rest.where(at == b)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame, float]:
-    """Log ratios; doc_id, log_weight, gumbel_key of every document (stored); the least key that is drawn."""
+def weights(models: tuple[np.ndarray, np.ndarray]) -> list[Column]:
+    """log_weight and word_weight of a text."""
+    return [log_weight(models[0], "text").alias("log_weight"), log_weight(models[1], "text", word_features, MOST).alias("word_weight")]
+
+
+def lowered(floor: float, least_words: float) -> Column:
+    """The weight that documents are drawn by: `log_weight`, or below `floor` as far as `word_weight` is below its bound."""
+    missed = F.col("word_weight") - F.lit(least_words)
+    return F.when(missed < 0, F.least("log_weight", F.lit(floor) + missed)).otherwise(F.col("log_weight"))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], Column, DataFrame, float]:
+    """Log ratios; the weight to draw by; doc_id, log_weight, gumbel_key of every document; the least key that is drawn."""
     sample = materialize(labelled_sample(labels), "labelled-sample")
-    ratios = learn(docs, sample)
-    scores = docs.select("doc_id", log_weight(ratios, "text").alias("log_weight"), gumbel().alias("g"))
-    scores = materialize(scores.selectExpr("doc_id", "log_weight", "log_weight + g as gumbel_key"), "importance-weights")
-    judged = scores.join(F.broadcast(sample.where("fold = 1")), "doc_id").select("log_weight", "good").limit(LABELLED)
-    least = bound([(r["log_weight"], r["good"]) for r in judged.collect()])
-    k = scores.where(F.col("log_weight") >= least).count()
-    return ratios, scores, kth_largest(scores, "gumbel_key", k) if k else math.inf
+    models = learn(docs, sample)
+    scores = materialize(docs.select("doc_id", *weights(models), gumbel().alias("g")), "importance-weights")
+    judged = scores.join(F.broadcast(sample.where("fold = 1")), "doc_id").select("log_weight", "word_weight", "good").limit(LABELLED)
+    judged = judged.collect()
+    least = bound([(r["log_weight"], r["good"]) for r in judged])
+    least_words = bound([(r["word_weight"], r["good"]) for r in judged])
+    if not math.isfinite(least_words) or sum(r["good"] for r in judged) < MIN_JUDGED:
+        least_words = -math.inf  # words that tell nothing reject nothing
+    k = scores.where((F.col("log_weight") >= least) & (F.col("word_weight") >= least_words)).count()
+    floor = least if math.isfinite(least) else scores.agg(F.min("log_weight")).first()[0] or 0.0
+    weight = lowered(floor, least_words)
+    scores = scores.select("doc_id", "log_weight", (weight + F.col("g")).alias("gumbel_key"))
+    return models, weight, scores, kth_largest(scores, "gumbel_key", k) if k else math.inf
 
 
 def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, log_weight, gumbel_key, kept for each row of `docs`."""
-    _, scores, cut = fit(docs, labels)
+    *_, scores, cut = fit(docs, labels)
     return scores.withColumn("kept", F.col("gumbel_key") >= cut)
 
 
 def keep_resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that are drawn, all columns."""
-    ratios, _, cut = fit(docs, labels)
-    weighed = docs.withColumn("_weight", log_weight(ratios, "text"))
-    return weighed.where(F.col("_weight") + gumbel() >= cut).select(*docs.columns)
+    models, weight, _, cut = fit(docs, labels)
+    weighed = docs.select("*", *weights(models))
+    return weighed.where(weight + gumbel() >= cut).select(*docs.columns)
