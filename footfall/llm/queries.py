@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import (
-    chosen_path, decontamination, fingerprints, importance, language_id, mixing, periodic_runs, sentence_spans, sharding,
+    chosen_path, decontamination, fingerprints, importance, language_id, mixing, packing, periodic_runs, sentence_spans, sharding,
     token_counts, url_filter,
 )
 from footfall.llm.session import table
@@ -62,6 +62,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.runs_report(table(spark, sf_dir, "documents"))
 
@@ -77,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_packing": op11_packing,
     "op13_periodic_runs": op13_periodic_runs,
 }
