@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import (
-    chosen_path, decontamination, fingerprints, importance, language_id, mixing, packing, periodic_runs, sentence_spans, sharding,
-    token_counts, url_filter,
+    chosen_path, decontamination, fingerprints, importance, language_id, mixing, packing, periodic_runs, sentence_spans,
+    sharding, spelling, token_counts, url_filter,
 )
 from footfall.llm.session import table
 
@@ -66,6 +66,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.runs_report(table(spark, sf_dir, "documents"))
 
@@ -82,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
     "op11_packing": op11_packing,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
