@@ -25,11 +25,10 @@ are not read, whatever their names. An empty table gives no rows.
 """
 
 import functools
+import hashlib
 import os
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from footfall.conf import materialize
+from footfall.llm.hashing import BASE, INVERSE, SPACES, U, mix, powers
 
 SIZE = 2048
 END_ID = 1
@@ -51,19 +51,15 @@ GAP = 1.0
 ROUNDS = 50
 #: New patterns a round at most, and how far prices stay with those of the round before.
 NEW, SMOOTH = 200, 0.5
-#: Chunks and words whose ids a task remembers.
-REMEMBERED = 1 << 18
+#: Parts of texts whose ids a worker remembers.
+REMEMBERED = 1 << 20
 #: Rests of one length that are numbered together, at least.
 GROUP_ROWS = 2_000
 #: Rests cut from the stream whose keys may be broadcast.
 FEW = 100_000
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: Text in which words and signs are always different tokens, but for a word behind an apostrophe.
-_PLAIN = re.compile(rf"[\x21-\x7e{_LETTERS}]+")
-_PART = re.compile(rf"[^{_LETTERS}]*'[{_LETTERS}]+|[{_LETTERS}]+|[^{_LETTERS}]+")
 _SPACE = re.compile(rb"\s")
-_SLICE = 1 << 20
+_SLICE = 1 << 21
 
 
 def default_vocabulary() -> str:
@@ -72,48 +68,87 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _bytes(ids: list[int]) -> bytes:
-    values = array("I", ids)
-    if sys.byteorder == "big":
-        values.byteswap()
-    return values.tobytes()
+def _classes_of_bytes() -> np.ndarray:
+    """0: white space. 1: letters, 2: digits and signs, which are always different tokens. 3: all else, which is not cut."""
+    kinds = np.full(256, 3, np.uint8)
+    kinds[0x21:0x7F] = 2
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    kinds[[*SPACES]] = 0
+    kinds[[ord("'"), ord("<")]] = 3  # endings such as 's, and special tokens
+    return kinds
+
+
+_KIND = _classes_of_bytes()
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    The tokenizer cuts at white space and between letters and signs, so texts are cut
+    there first and each different part is encoded once while it is remembered. Parts
+    are found by 64-bit hashes (of longer parts, cryptographic ones).
+    """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.coding = Tokenizer.from_file(vocabulary)
-        self.chunks: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        """Remember the ids of chunks without white space, made of those of their parts."""
-        if len(self.parts) > REMEMBERED:
-            self.parts = {}
-        split = {}
-        for chunk in chunks:
-            text = chunk.decode()
-            plain = _PLAIN.fullmatch(text) and "<|" not in text  # which begins the special tokens
-            split[chunk] = _PART.findall(text) if plain else [text]
-        fresh = sorted({p for parts in split.values() for p in parts} - self.parts.keys())
-        for lo in range(0, len(fresh), 1000):
-            some = fresh[lo : lo + 1000]
-            for text, coded in zip(some, self.coding.encode_batch_fast(some, add_special_tokens=False)):
-                self.parts[text] = _bytes(coded.ids)
-        for chunk, parts in split.items():
-            self.chunks[chunk] = self.parts[parts[0]] if len(parts) == 1 else b"".join([self.parts[p] for p in parts])
-
-    def _short(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        chunks = set().union(*split)
-        if len(self.chunks) > REMEMBERED:
-            self.chunks = {}
-        self._learn(chunks - self.chunks.keys())
-        return [b"".join(map(self.chunks.__getitem__, x)) for x in split]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.begin, self.flat, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, "<u4"), 0
+
+    def _learn(self, keys: list[int], parts: list[str]) -> None:
+        for lo in range(0, len(parts), 1000):
+            coded = [x.ids for x in self.coding.encode_batch_fast(parts[lo : lo + 1000], add_special_tokens=False)]
+            sizes = np.cumsum([len(x) for x in coded])
+            while self.used + sizes[-1] > len(self.flat):
+                self.flat = np.append(self.flat, np.zeros_like(self.flat))
+            while len(self.slots) + len(coded) + 1 > len(self.begin):
+                self.begin = np.append(self.begin, np.zeros_like(self.begin))
+            self.flat[self.used : self.used + sizes[-1]] = np.fromiter((i for x in coded for i in x), "<u4", sizes[-1])
+            n = len(self.slots)
+            self.begin[n + 1 : n + 1 + len(coded)] = self.used + sizes
+            self.slots.update(zip(keys[lo : lo + 1000], range(n, n + len(coded))))
+            self.used += int(sizes[-1])
+
+    def _slice(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.slots) > REMEMBERED:
+            self._forget()
+        raw = b" ".join(texts) + b" "
+        data = np.frombuffer(raw, np.uint8)
+        kind = _KIND[data]
+        begins = np.flatnonzero((kind > 0) & (np.append(0, kind[:-1]) == 0))
+        if not len(begins):
+            return [b""] * len(texts)
+        odd = np.flatnonzero(np.maximum.reduceat(kind, begins) == 3)  # chunks that are not cut
+        if len(odd):
+            ends = np.flatnonzero((kind == 0) & (np.append(0, kind[:-1]) > 0))
+            depth = np.zeros(len(raw) + 1, np.int8)
+            depth[begins[odd]] = 1
+            depth[ends[odd]] = -1
+            kind[np.cumsum(depth[:-1], dtype=np.int8) > 0] = 3
+        edges = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(raw)]])
+        inside = kind[edges[:-1]] > 0
+        starts, ends = edges[:-1][inside], edges[1:][inside]
+        sums = np.zeros(len(raw) + 1, U)
+        np.cumsum((data.astype(U) + U(1)) * powers(BASE, len(raw)), out=sums[1:])
+        hashes = mix((sums[ends] - sums[starts]) * powers(INVERSE, len(raw))[starts])
+        for i in np.flatnonzero(ends - starts > 256):
+            hashes[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8).digest())
+        keys, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = keys.tolist()
+        fresh = [i for i, k in enumerate(keys) if k not in self.slots]
+        self._learn([keys[i] for i in fresh], [raw[starts[j] : ends[j]].decode() for j in one[fresh].tolist()] if fresh else [])
+        slots = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[inverse]
+        first, size = self.begin[slots], self.begin[slots + 1] - self.begin[slots]
+        upto = np.append(0, np.cumsum(size))
+        ids = self.flat[np.repeat(first - upto[:-1], size) + np.arange(upto[-1])]
+        texts_end = np.cumsum([len(t) + 1 for t in texts])
+        cuts = upto[np.searchsorted(starts, texts_end)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *cuts], cuts)]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids; about _SLICE bytes are looked at together."""
@@ -137,7 +172,7 @@ class Encoder:
         return [b"".join(x) for x in out]
 
     def _put(self, some: list[tuple[int, bytes]], out: list[list[bytes]]) -> None:
-        for (i, _), ids in zip(some, self._short([raw for _, raw in some])):
+        for (i, _), ids in zip(some, self._slice([raw for _, raw in some])):
             out[i].append(ids)
 
 
@@ -362,7 +397,7 @@ def _encode(docs: DataFrame, id_column: str, text_column: str, vocabulary: str,
     kind = docs.schema[id_column].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = _encoder(vocabulary), _bytes([end_id])
+        encoder, end = _encoder(vocabulary), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for ids in encoder.ids(batch.column(2).to_pylist()):
