@@ -16,6 +16,7 @@ from footfall.functions.time_features import time_feature_job
 from footfall.operators import categories, pages, sampling, sessions as ops, stats
 from footfall.plans.session_job import filtered_sessions, run_session_job
 from footfall.schemas import PERSON_SCHEMA
+from footfall.sinks.committed import read_committed, write_committed
 from footfall.sinks.partitions import ParquetWriter, write_partitions
 from footfall.sinks.tables import read_results, replace_task
 from footfall.sources import files, views
@@ -273,6 +274,15 @@ def foreach_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(actions.schema).parquet(folder)
 
 
+def committed_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks are written first, then all actions in fewer partitions, which replace them; read back."""
+    folder = scratch_folder(spark, "committed")
+    actions = _stored(spark, sf_dir)
+    write_committed(actions.where("click_category_id is not null").repartition(12, "session_id"), folder)
+    write_committed(actions.repartition(5, "session_id"), folder)
+    return read_committed(spark, folder, actions.schema)
+
+
 def page_convert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_convert_rate(_actions(spark, sf_dir), FLOW_TASK.target_page_flow)
 
@@ -309,5 +319,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_token_count": stream_token_count,
     "task_partition_overwrite": task_partition_overwrite,
     "foreach_partition_sink": foreach_partition_sink,
+    "committed_partition_sink": committed_partition_sink,
     "page_convert_rate": page_convert_rate,
 }

@@ -218,6 +218,7 @@ ORACLE: dict[str, str] = {
       (select cast(2 as bigint) task_id, * from counts
        order by click_count desc, order_count desc, pay_count desc, category_id limit 25)""",
     "foreach_partition_sink": ALL + "select * from actions",
+    "committed_partition_sink": ALL + "select * from actions",
     "page_convert_rate": _ctes(
         "true",
         ordered="""select page_id, lead(page_id) over (partition by session_id order by action_time, page_id) next_page

@@ -25,8 +25,12 @@ def write_partitions(df: DataFrame, open_writer: Callable[[int, int], Writer]) -
 
     `open_writer` gets the number of the partition and of the task's attempt. A lost or
     failed task writes its partition again, so what a writer commits has to replace what
-    another attempt of that partition has committed.
+    another attempt of that partition has committed. One more writer, of partition -1, is
+    opened and aborted on the driver first: a sink that can't be opened fails there, and
+    what all writers share, such as a folder, exists before the first task. Partitions
+    are committed one by one; `footfall.sinks.committed` commits a job as a whole.
     """
+    open_writer(-1, 0).abort()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, rows = TaskContext.get(), 0
