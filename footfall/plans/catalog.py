@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.conf import materialize, scratch_folder
 from footfall.functions.concat_fields import concat_field_job
 from footfall.functions.time_features import time_feature_job
-from footfall.operators import categories, pages, sampling, sessions as ops, stats
+from footfall.operators import all_tasks, categories, pages, sampling, sessions as ops, states, stats
 from footfall.plans.session_job import filtered_sessions, run_session_job
 from footfall.schemas import PERSON_SCHEMA
 from footfall.sinks.committed import read_committed, write_committed
@@ -110,6 +110,31 @@ def session_agg_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.session_agg_stat(_sessions(spark, sf_dir), TASK_ID)
 
 
+def _stored_states(spark: SparkSession, sf_dir: str) -> str:
+    """Daily session states, stored in two steps: the second one adds its days only."""
+    actions, path = _stored(spark, sf_dir), scratch_folder(spark, "states")
+    for days in ("date <= '2024-01-15'", "date > '2024-01-15'"):
+        states.store_states(states.daily_states(actions.where(days)), path)
+    return path
+
+
+def session_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sessions, merged from stored daily states."""
+    return states.sessions_of(states.merge_states(states.read_states(spark, _stored_states(spark, sf_dir))))
+
+
+def session_states_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions by hour of two days, from the states of these days."""
+    kept = states.read_states(spark, _stored_states(spark, sf_dir), TWO_DAYS)
+    return stats.session_hour_count(states.sessions_of(states.merge_states(kept)))
+
+
+def all_tasks_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histogram of every task of the task table."""
+    kept = states.read_states(spark, _stored_states(spark, sf_dir))
+    return all_tasks.all_tasks_stat(task_params(views.task(spark, sf_dir)), kept, views.user_info(spark, sf_dir))
+
+
 def session_hour_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.session_hour_count(_sessions(spark, sf_dir))
 
@@ -296,6 +321,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_filter_each": session_filter_each,
     "session_agg_stat": session_agg_stat,
     "session_hour_count": session_hour_count,
+    "session_states": session_states,
+    "session_states_range": session_states_range,
+    "all_tasks_stat": all_tasks_stat,
     "extract_quota": extract_quota,
     "random_extract_session": random_extract_session,
     "session_detail": session_detail,

@@ -150,6 +150,18 @@ TASK_COLUMNS = ", ".join(
     ]
 )
 
+# Every task against every session of its dates.
+TASKS_AND_SESSIONS = f"""select task_id, count(session_id) session_count, {RATIOS.replace("count(*)", "count(session_id)")}
+  from (select task_id, {TASK_COLUMNS} from task) p left join
+    (select * from sessions join (select session_id, min(date) date from actions group by session_id) using (session_id)) s on
+    s.date >= p.start_date and s.date <= p.end_date
+    and (p.start_age is null or p.end_age is null or s.age between cast(p.start_age as int) and cast(p.end_age as int))
+    and (p.professionals is null or list_contains(string_split(p.professionals, ','), s.professional))
+    and (p.cities is null or list_contains(string_split(p.cities, ','), s.city)) and (p.sex is null or s.sex = p.sex)
+    and (p.keywords is null or list_has_any(string_split(s.search_keywords, ','), string_split(p.keywords, ',')))
+    and (p.category_ids is null or list_has_any(string_split(s.click_category_ids, ','), string_split(p.category_ids, ',')))
+  group by task_id"""
+
 PERSON = "select cast(c_custkey as int) id, c_name name, cast((c_custkey * 7) % 60 as int) age from customer"
 
 WORDS = """select unnest(string_split(line, ' ')) word from (
@@ -176,6 +188,10 @@ ORACLE: dict[str, str] = {
     "session_agg_stat": ALL + f"select cast(1 as bigint) task_id, count(*) session_count, {RATIOS} from sessions",
     "session_hour_count": ALL + """select start_time[1:10] || '_' || start_time[12:13] date_hour,
       count(*) session_count from sessions group by 1""",
+    "session_states": ALL + "select * from session_agg",
+    "session_states_range": _ctes(TWO_DAYS) + """select start_time[1:10] || '_' || start_time[12:13] date_hour,
+      count(*) session_count from session_agg group by 1""",
+    "all_tasks_stat": _ctes("true", task=TASKS) + TASKS_AND_SESSIONS,
     "extract_quota": DAYS + "select * from quotas",
     "random_extract_session": DAYS + f"select cast(1 as bigint) task_id, {SAMPLE_COLUMNS} from sample",
     "session_detail": DAYS + f"""select cast(1 as bigint) task_id, {DETAIL} from actions
