@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.functions.columns import id_list
 from footfall.operators.sampling import session_detail
+from footfall.operators.ranking import rank_all
 from footfall.operators.skew import top_per_group
 
 TOP = 10
@@ -67,6 +68,11 @@ def category_counts(
     )
 
 
+def rank_categories(counts: DataFrame) -> DataFrame:
+    """All categories with their position in the order of `top_categories`."""
+    return rank_all(counts, [F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), F.asc("category_id")])
+
+
 def top_categories(counts: DataFrame, task_id: int, k: int = TOP) -> DataFrame:
     """The k categories with most clicks, then orders, then payments; lowest id on ties."""
     return (

@@ -9,12 +9,14 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from footfall.conf import materialize, scratch_folder
 from footfall.functions.concat_fields import concat_field_job
 from footfall.functions.time_features import time_feature_job
 from footfall.operators import all_tasks, categories, pages, sampling, sessions as ops, states, stats
-from footfall.plans.session_job import filtered_sessions, run_session_job
+from footfall.operators.ranking import rank_all
+from footfall.plans.session_job import filtered_sessions, publish_session_job, read_published, run_session_job
 from footfall.schemas import PERSON_SCHEMA
 from footfall.sinks.committed import read_committed, write_committed
 from footfall.sinks.partitions import ParquetWriter, write_partitions
@@ -176,6 +178,16 @@ def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(*_stored_with_sessions(spark, sf_dir))
 
 
+def category_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return categories.rank_categories(categories.category_counts(*_stored_with_sessions(spark, sf_dir)))
+
+
+def session_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sessions by steps, then length; ranges are small here so that there are several."""
+    sessions = _sessions(spark, sf_dir).select("session_id", "step_length", "visit_length")
+    return rank_all(sessions, [F.desc("step_length"), F.desc("visit_length"), F.asc("session_id")], rows_per_task=500)
+
+
 def top10_category_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     actions, sessions = _stored_with_sessions(spark, sf_dir)
     return categories.top_category_sessions(actions, _top(actions, sessions), TASK_ID)
@@ -197,6 +209,18 @@ def job_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_results(spark, f"{output}/session_detail", schema)
 
 
+def job_published_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most active sessions out of a published run; a run of two days before it is replaced as a whole."""
+    output = scratch_folder(spark, "published")
+    two_days = f'{{"startDate":["{TWO_DAYS.start_date}"],"endDate":["{TWO_DAYS.end_date}"]}}'
+    actions, users = _stored(spark, sf_dir), views.user_info(spark, sf_dir)
+    for param in (two_days, "{}"):
+        tasks = spark.createDataFrame([(TASK_ID, param)], "task_id bigint, task_param string")
+        publish_session_job(tasks, actions, users, TASK_ID, output, n=DRAWN, seed=SEED, at_rest=True)
+    schema = "task_id bigint, category_id bigint, session_id string, click_count bigint"
+    return read_published(spark, output, TASK_ID, "top10_category_session", StructType.fromDDL(schema))
+
+
 def task_param_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return task_params(views.task(spark, sf_dir))
 
@@ -240,6 +264,32 @@ def json_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, _person_json(spark, sf_dir))
 
 
+def _mixed_json(spark: SparkSession, sf_dir: str) -> str:
+    """Lines of JSON whose values are of several types: numbers, texts, lists, objects, null, or missing."""
+    path = scratch_folder(spark, "mixed-json")
+    k = "get_json_object(props, '$.k')"
+    views.table(spark, sf_dir, "events").selectExpr(
+        f"""case event_id % 4
+          when 0 then concat('{{"id":', event_id, ',"k":', {k}, ',"tag":"', event_type, '"}}')
+          when 1 then concat('{{"id":', event_id, ',"k":"', {k}, '","tag":null}}')
+          when 2 then concat('{{"id":', event_id, ',"k":', {k}, '.5}}')
+          else concat('{{"id":', event_id, ',"k":[', {k}, '],"tag":{{"kind":"', event_type, '"}}}}') end"""
+    ).write.text(path)
+    return path
+
+
+def json_variant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = files.variant_path
+    return files.read_variants(spark, _mixed_json(spark, sf_dir)).select(
+        at("$.id", "bigint").alias("id"), at("$.k", "string").alias("k"), at("$.k", "bigint").alias("k_number"),
+        at("$.k[0]", "bigint").alias("k_first"), at("$.tag.kind", "string").alias("kind"),
+    )
+
+
+def json_variant_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.variant_types(files.read_variants(spark, _mixed_json(spark, sf_dir)), ["$.id", "$.k", "$.tag"])
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "person-csv")
     views.person(spark, sf_dir).write.option("header", True).csv(path)
@@ -331,9 +381,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_order_count": category_order_count,
     "category_pay_count": category_pay_count,
     "top10_category": top10_category,
+    "category_rank": category_rank,
+    "session_rank": session_rank,
     "top10_category_session": top10_category_session,
     "top10_session_detail": top10_session_detail,
     "job_session_detail": job_session_detail,
+    "job_published_sessions": job_published_sessions,
     "task_params": task_param_scan,
     "concat_field_job": concat_fields,
     "time_feature_job": time_features,
@@ -341,6 +394,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_sql_filter": text_sql_filter,
     "json_scan": json_scan,
     "json_inferred_scan": json_inferred_scan,
+    "json_variant_scan": json_variant_scan,
+    "json_variant_types": json_variant_types,
     "csv_scan": csv_scan,
     "partitioned_word_count": partitioned_word_count,
     "word_count_partitions": word_count_partitions,

@@ -200,11 +200,16 @@ ORACLE: dict[str, str] = {
     "category_order_count": TOPPED + "select category_id, order_count from counts where order_count > 0",
     "category_pay_count": TOPPED + "select category_id, pay_count from counts where pay_count > 0",
     "top10_category": TOPPED + "select * from top",
+    "category_rank": TOPPED + """select *, row_number() over (
+      order by click_count desc, order_count desc, pay_count desc, category_id) as rank from counts""",
+    "session_rank": ALL + """select session_id, step_length, visit_length, row_number() over (
+      order by step_length desc, visit_length desc, session_id) as rank from sessions""",
     "top10_category_session": TOPPED + "select * from top_sessions",
     "top10_session_detail": TOPPED + f"""select cast(1 as bigint) task_id, {DETAIL} from actions
       where session_id in (select session_id from top_sessions)""",
     "job_session_detail": TOPPED + f"""select cast(1 as bigint) task_id, {DETAIL} from actions
       where session_id in (select session_id from top_sessions union select session_id from sample)""",
+    "job_published_sessions": TOPPED + "select * from top_sessions",
     "task_params": f"with task as ({TASKS}) select task_id, {TASK_COLUMNS} from task",
     "concat_field_job": _ctes("true", texts=INFO) + f"""select session_id,
       {_field('searchKeywords')} search_keywords, {_field('clickCategoryIds')} click_category_ids,
@@ -224,6 +229,16 @@ ORACLE: dict[str, str] = {
     "text_sql_filter": f"select * from ({PERSON}) where age > 20",
     "json_scan": PERSON,
     "json_inferred_scan": "select cast(c_custkey as bigint) id, c_name name, cast((c_custkey * 7) % 60 as bigint) age from customer",
+    "json_variant_scan": """select event_id id, case when event_id % 4 = 2 then k || '.5' when event_id % 4 = 3 then '[' || k || ']'
+      else k end k, case when event_id % 4 in (0, 1, 2) then cast(k as bigint) end k_number,
+      case when event_id % 4 = 3 then cast(k as bigint) end k_first,
+      case when event_id % 4 = 3 then event_type end kind
+      from (select *, json_extract_string(props, '$.k') k from events)""",
+    "json_variant_types": """select path, type, count(*) "rows" from (
+      select unnest(['$.id', '$.k', '$.tag']) path, unnest(['BIGINT',
+        case event_id % 4 when 0 then 'BIGINT' when 1 then 'STRING' when 2 then 'DECIMAL(' || len(ltrim(k || '5', '0')) || ',1)' else 'ARRAY<BIGINT>' end,
+        case event_id % 4 when 0 then 'STRING' when 1 then 'VOID' when 2 then null else 'OBJECT<kind: STRING>' end]) as type
+      from (select *, json_extract_string(props, '$.k') k from events)) group by path, type""",
     "csv_scan": PERSON,
     "partitioned_word_count": f"select word, count(*) cnt from ({WORDS}) where word != '' group by word",
     "word_count_partitions": f"""select 1 + count(distinct word) // 20000 partitions, cast(count(distinct word) as bigint) "rows"

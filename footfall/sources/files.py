@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -34,6 +34,25 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return (reader if schema is None else reader.schema(schema)).json(path)
 
 
+def read_variants(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines as one variant column `value`, read in one pass without a schema; a broken line is an error."""
+    return read_lines(spark, path).select(F.parse_json("value").alias("value"))
+
+
+def variant_path(path: str, kind: str) -> Column:
+    """The value of a variant at a path; null where the path is missing or its value has no form of that type."""
+    return F.try_variant_get("value", path, kind)
+
+
+def variant_types(variants: DataFrame, paths: list[str]) -> DataFrame:
+    """path, type, rows: the types found at each path over all rows; type is null where the path is missing.
+
+    A JSON null is of type VOID. Counts are partial before the shuffle.
+    """
+    found = [F.struct(F.lit(p).alias("path"), F.schema_of_variant(F.variant_get("value", p, "variant")).alias("type")) for p in paths]
+    return variants.select(F.explode(F.array(*found)).alias("x")).groupBy("x.path", "x.type").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
     return spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path)
 
