@@ -89,30 +89,45 @@ def count_words(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
 
 #: What one edit makes of a state (node, rest): the next character w of the word is `left(rest, 1)`. A character of the
 #: trie is put in only where the word has another one, and the last one of equal characters is skipped: the other
-#: places give the same neighbours.
+#: places give the same neighbours. A state stays only if its node has the way on that its rest needs next.
 _EDITED = """
     concat(
-      transform(filter(ways, c -> c <> left(rest, 1)), c -> struct(concat(node, c) as node, rest as rest)),
-      transform(filter(ways, c -> rest <> '' and c <> left(rest, 1)), c -> struct(concat(node, c) as node, substr(rest, 2) as rest)),
-      if(rest = '' or substr(rest, 2, 1) = left(rest, 1), array(), array(struct(node as node, substr(rest, 2) as rest))))
+      transform(filter(ways, x -> x.c <> left(rest, 1) and array_contains(x.next, left(rest, 1))),
+        x -> struct(concat(node, x.c) as node, rest as rest)),
+      transform(filter(ways, x -> rest <> '' and x.c <> left(rest, 1) and array_contains(x.next, substr(rest, 2, 1))),
+        x -> struct(concat(node, x.c) as node, substr(rest, 2) as rest)),
+      if(rest <> '' and substr(rest, 2, 1) <> left(rest, 1) and (length(rest) = 1 or exists(ways, x -> x.c = substr(rest, 2, 1))),
+        array(struct(node as node, substr(rest, 2) as rest)), array()))
 """
+#: The way that a state without edits left goes.
+_ON = "exists(ways, x -> x.c = left(rest, 1) and array_contains(x.next, substr(rest, 2, 1)))"
+
+
+def _trie(paths: DataFrame) -> DataFrame:
+    """node, ways (c, next): the characters that lead on from a node, and those that lead on from there ('' at a word's end).
+
+    A path gives its nodes from the middle of a word that is one character shorter on.
+    """
+    steps = paths.selectExpr("path", "explode(sequence((length(path) - 2) div 2 + 2, length(path))) as i")
+    nodes = steps.selectExpr("left(path, i) as child", "substr(path, i + 1, 1) as way").groupBy("child").agg(F.collect_set("way").alias("next"))
+    ways = nodes.selectExpr("left(child, length(child) - 1) as node", "struct(right(child, 1) as c, next) as way")
+    return ways.groupBy("node").agg(F.collect_list("way").alias("ways"))
 
 
 def _trie_pairs(words: DataFrame) -> DataFrame:
     """word, near (both directions, some repeated): walks of all words through the trie."""
     paths = words.select("word", F.expr("explode(array(concat('>', word), concat('<', reverse(word))))").alias("path"))
-    ways = paths.selectExpr("path", "explode(sequence((length(path) - 2) div 2 + 1, length(path) - 1)) as i")
-    trie = ways.selectExpr("left(path, i) as node", "substr(path, i + 1, 1) as way")
-    trie = materialize(trie.groupBy("node").agg(F.collect_set("way").alias("ways")), "spelling-trie")
+    trie = materialize(_trie(paths), "spelling-trie")
     deepest = words.agg(F.max(F.length("word"))).first()[0] or 0
     ends, edited = [], None
     for level in range(deepest - deepest // 2 + 1):
         at = f"(length(path) - 1) div 2 + 1 + {level}"
         exact = paths.where(f"{at} <= length(path)").selectExpr("word", f"left(path, {at}) as node", f"substr(path, {at} + 1) as rest")
-        exact = exact.join(trie, "node", "left").withColumn("ways", F.expr("coalesce(ways, array())"))
+        # At the end of a word whose node has no ways on, no edit is left to make.
+        exact = exact.join(trie, "node")
         states = exact.select("word", F.explode(F.expr(_EDITED)).alias("to")).select("word", "to.*")
         if edited is not None:
-            on = edited.where("rest <> ''").join(trie, "node").where("array_contains(ways, left(rest, 1))")
+            on = edited.where("rest <> ''").join(trie, "node").where(_ON)
             states = states.union(on.selectExpr("word", "concat(node, left(rest, 1)) as node", "substr(rest, 2) as rest"))
         edited = materialize(states, f"spelling-level-{level}")
         ends.append(edited.where("rest = ''").select("word", "node"))
