@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from footfall.conf import materialize, scratch_folder
+from footfall.conf import folder_exists, materialize, scratch_folder
 from footfall.functions.concat_fields import concat_field_job
 from footfall.functions.time_features import time_feature_job
 from footfall.operators import all_tasks, categories, pages, sampling, sessions as ops, states, stats
@@ -22,7 +22,7 @@ from footfall.sinks.committed import read_committed, write_committed
 from footfall.sinks.partitions import ParquetWriter, write_partitions
 from footfall.sinks.tables import read_results, replace_task
 from footfall.sources import files, views
-from footfall.sources.actions import actions_in_date_range, stored_actions
+from footfall.sources.actions import actions_in_date_range, read_actions, stored_actions
 from footfall.sources.tasks import TaskParams, task_params
 from footfall.streaming import tokens
 
@@ -60,9 +60,17 @@ def _sessions(spark: SparkSession, sf_dir: str, params: TaskParams = WHOLE_RANGE
     return _actions_and_sessions(spark, sf_dir, params)[1]
 
 
+#: Where this process has stored the actions of a folder of tables, for each Spark application.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All actions, derived once and stored by date, for queries that read them more than once."""
-    return stored_actions(_actions(spark, sf_dir))[0]
+    """All actions, derived once for a Spark application and stored by date, for queries that read them more than once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _STORED and folder_exists(spark, f"{_STORED[key]}/_SUCCESS"):
+        return read_actions(spark, _STORED[key])
+    actions, _STORED[key] = stored_actions(_actions(spark, sf_dir))
+    return actions
 
 
 def _stored_with_sessions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
