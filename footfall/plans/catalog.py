@@ -41,6 +41,7 @@ FILTER_TASK = TaskParams.from_json(
 )
 CATEGORY_TASK = TaskParams.from_json('{"startAge":[0],"endAge":[30],"categoryIds":["3,5,7,11,13"]}')
 FLOW_TASK = TaskParams.from_json('{"targetPageFlow":["0,1,2"]}')
+FUNNEL_TASK = TaskParams.from_json('{"targetPageFlow":["3,1,4,1,1"]}')
 #: Sessions to draw over the 30 days of the test tables: 100 for each day.
 DRAWN = 3000
 
@@ -161,6 +162,11 @@ def random_extract_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample(_sessions(spark, sf_dir))
 
 
+def extract_in_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sample out of heaps that merge, with sessions computed once."""
+    return sampling.extract_in_one_pass(_sessions(spark, sf_dir), TASK_ID, DRAWN, seed=SEED)
+
+
 def session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     actions, sessions = _stored_with_sessions(spark, sf_dir)
     return sampling.session_detail(actions, _sample(sessions), TASK_ID)
@@ -370,6 +376,10 @@ def page_convert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_convert_rate(_actions(spark, sf_dir), FLOW_TASK.target_page_flow)
 
 
+def page_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_funnel(_actions(spark, sf_dir), FUNNEL_TASK.target_page_flow)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "action_scan_date_range": action_scan_date_range,
     "session_agg": session_agg,
@@ -384,6 +394,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "all_tasks_stat": all_tasks_stat,
     "extract_quota": extract_quota,
     "random_extract_session": random_extract_session,
+    "extract_in_one_pass": extract_in_one_pass,
     "session_detail": session_detail,
     "category_click_count": category_click_count,
     "category_order_count": category_order_count,
@@ -412,4 +423,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "foreach_partition_sink": foreach_partition_sink,
     "committed_partition_sink": committed_partition_sink,
     "page_convert_rate": page_convert_rate,
+    "page_funnel": page_funnel,
 }

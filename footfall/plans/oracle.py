@@ -162,6 +162,14 @@ TASKS_AND_SESSIONS = f"""select task_id, count(session_id) session_count, {RATIO
     and (p.category_ids is null or list_has_any(string_split(s.click_category_ids, ','), string_split(p.category_ids, ',')))
   group by task_id"""
 
+# Sessions at each step of a funnel: the first row of its page after the row of the step before.
+FUNNEL = [3, 1, 4, 1, 1]
+FUNNEL_STEPS = {"step_0": "select distinct session_id, 0 as at from placed"} | {
+    f"step_{i}": f"""select session_id, min(nr) as at from placed join step_{i - 1} using (session_id)
+      where page_id = {page} and nr > at group by session_id"""
+    for i, page in enumerate(FUNNEL, 1)
+}
+
 PERSON = "select cast(c_custkey as int) id, c_name name, cast((c_custkey * 7) % 60 as int) age from customer"
 
 WORDS = """select unnest(string_split(line, ' ')) word from (
@@ -194,6 +202,7 @@ ORACLE: dict[str, str] = {
     "all_tasks_stat": _ctes("true", task=TASKS) + TASKS_AND_SESSIONS,
     "extract_quota": DAYS + "select * from quotas",
     "random_extract_session": DAYS + f"select cast(1 as bigint) task_id, {SAMPLE_COLUMNS} from sample",
+    "extract_in_one_pass": DAYS + f"select cast(1 as bigint) task_id, {SAMPLE_COLUMNS} from sample",
     "session_detail": DAYS + f"""select cast(1 as bigint) task_id, {DETAIL} from actions
       where session_id in (select session_id from sample)""",
     "category_click_count": TOPPED + "select category_id, click_count from counts where click_count > 0",
@@ -261,4 +270,15 @@ ORACLE: dict[str, str] = {
       count(*) filter (where page_id = page_from and next_page = page_to)::double
         / nullif(count(*) filter (where page_id = page_from), 0) rate
       from steps, ordered group by page_from, page_to""",
+    "page_funnel": _ctes(
+        "true",
+        placed="""select session_id, page_id, row_number() over (partition by session_id order by action_time, page_id) nr
+          from actions where session_id is not null and session_id not in (select session_id from actions
+            where try_strptime(action_time, '%Y-%m-%d %H:%M:%S') is null and session_id is not null)""",
+        **FUNNEL_STEPS,
+        sizes=" union all ".join(
+            f"select cast({i} as bigint) step, cast({page} as bigint) page_id, count(*) sessions from step_{i}"
+            for i, page in enumerate(FUNNEL, 1)
+        ),
+    ) + """select *, case when step > 1 then sessions / nullif(lag(sessions) over (order by step), 0) end rate from sizes""",
 }
