@@ -6,6 +6,7 @@ All read the whole given tables; a range of dates is the feature of one of them.
 
 import datetime
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,10 +22,10 @@ from footfall.schemas import PERSON_SCHEMA
 from footfall.sinks.committed import read_committed, write_committed
 from footfall.sinks.partitions import ParquetWriter, write_partitions
 from footfall.sinks.tables import read_results, replace_task
-from footfall.sources import files, views
+from footfall.sources import catalog_tables, files, line_log, views
 from footfall.sources.actions import actions_in_date_range, read_actions, stored_actions
 from footfall.sources.tasks import TaskParams, task_params
-from footfall.streaming import tokens
+from footfall.streaming import running, tokens
 
 TASK_ID = 1
 SEED = 42
@@ -83,6 +84,14 @@ def action_scan_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actions_in_date_range(_stored(spark, sf_dir), TWO_DAYS)
 
 
+def action_scan_task_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actions of the days on which tasks with a page flow and categories begin, from a catalog table."""
+    name, path = f"actions_{uuid.uuid4().hex}", scratch_folder(spark, "catalog-actions")
+    catalog_tables.save_table(_actions(spark, sf_dir), name, path)
+    begun = task_params(views.task(spark, sf_dir)).where("target_page_flow is not null and category_ids is not null")
+    return catalog_tables.on_days(spark, name, begun.selectExpr("start_date as date"))
+
+
 def session_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.aggregate_sessions(_actions(spark, sf_dir))
 
@@ -329,12 +338,27 @@ def word_count_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
 
 
+def _token_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.table(spark, sf_dir, "events").select(
+        "event_id", F.concat_ws(",", "event_type", F.get_json_object("props", "$.k")).alias("value")
+    )
+
+
+def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts over a log: the stream stops, the log grows, the stream goes on."""
+    folder = scratch_folder(spark, "running-count")
+    for step in (0, 1):
+        lines = _token_lines(spark, sf_dir).where(f"pmod(hash(event_id), 2) = {step}").select("value")
+        lines.write.text(f"{folder}/lines/{step}")
+        stream = line_log.read_line_log(spark, f"{folder}/lines")
+        running.start_running_count(stream, f"{folder}/checkpoint", idle_seconds=3600).awaitTermination()
+    return running.read_running_counts(spark, f"{folder}/checkpoint")
+
+
 def stream_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over at least three micro-batches, of which all but the last are then compacted."""
     folder = scratch_folder(spark, "token-stream")
-    lines = views.table(spark, sf_dir, "events").select(
-        F.concat_ws(",", "event_type", F.get_json_object("props", "$.k"))
-    )
+    lines = _token_lines(spark, sf_dir).select("value")
     lines.repartition(3).write.text(f"{folder}/lines/1")  # dealt anew only so that there are three files
     given = len(spark.read.text(f"{folder}/lines/*").inputFiles())
     stream = tokens.read_line_stream(spark, f"{folder}/lines/*", files_per_batch=max(1, given // 3))
@@ -382,6 +406,7 @@ def page_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "action_scan_date_range": action_scan_date_range,
+    "action_scan_task_dates": action_scan_task_dates,
     "session_agg": session_agg,
     "session_user_join": session_user_join,
     "session_filter": session_filter,
@@ -419,6 +444,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_word_count": partitioned_word_count,
     "word_count_partitions": word_count_partitions,
     "stream_token_count": stream_token_count,
+    "stream_running_count": stream_running_count,
     "task_partition_overwrite": task_partition_overwrite,
     "foreach_partition_sink": foreach_partition_sink,
     "committed_partition_sink": committed_partition_sink,

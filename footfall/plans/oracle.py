@@ -164,9 +164,9 @@ TASKS_AND_SESSIONS = f"""select task_id, count(session_id) session_count, {RATIO
 
 # Sessions at each step of a funnel: the first row of its page after the row of the step before.
 FUNNEL = [3, 1, 4, 1, 1]
-FUNNEL_STEPS = {"step_0": "select distinct session_id, 0 as at from placed"} | {
-    f"step_{i}": f"""select session_id, min(nr) as at from placed join step_{i - 1} using (session_id)
-      where page_id = {page} and nr > at group by session_id"""
+FUNNEL_STEPS = {"step_0": "select distinct session_id, 0 as reached from placed"} | {
+    f"step_{i}": f"""select session_id, min(nr) as reached from placed join step_{i - 1} using (session_id)
+      where page_id = {page} and nr > reached group by session_id"""
     for i, page in enumerate(FUNNEL, 1)
 }
 
@@ -175,8 +175,13 @@ PERSON = "select cast(c_custkey as int) id, c_name name, cast((c_custkey * 7) %
 WORDS = """select unnest(string_split(line, ' ')) word from (
   select unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) line from documents)"""
 
+TOKENS = """select token, count(*) cnt from (
+  select unnest([event_type, json_extract_string(props, '$.k')]) token from events) where token != '' group by token"""
+
 ORACLE: dict[str, str] = {
     "action_scan_date_range": _ctes(TWO_DAYS) + "select * from actions",
+    "action_scan_task_dates": _ctes("true", task=TASKS, begun=f"select {TASK_COLUMNS} from task") + """select * from actions
+      where date in (select start_date from begun where target_page_flow is not null and category_ids is not null)""",
     "session_agg": ALL + "select * from session_agg",
     "session_user_join": ALL + "select * from sessions",
     "session_filter": _ctes("date between '2024-01-01' and '2024-01-31'") + """select * from sessions
@@ -252,8 +257,8 @@ ORACLE: dict[str, str] = {
     "partitioned_word_count": f"select word, count(*) cnt from ({WORDS}) where word != '' group by word",
     "word_count_partitions": f"""select 1 + count(distinct word) // 20000 partitions, cast(count(distinct word) as bigint) "rows"
       from ({WORDS}) where word != ''""",
-    "stream_token_count": """select token, count(*) cnt from (
-      select unnest([event_type, json_extract_string(props, '$.k')]) token from events) where token != '' group by token""",
+    "stream_token_count": TOKENS,
+    "stream_running_count": TOKENS,
     "task_partition_overwrite": TOPPED + """select * from top union all
       (select cast(2 as bigint) task_id, * from counts
        order by click_count desc, order_count desc, pay_count desc, category_id limit 25)""",
