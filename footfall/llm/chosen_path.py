@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from footfall.conf import materialize
 from footfall.llm.components import connected_components
 from footfall.llm.hashing import mix, shingle_sets
-from footfall.llm.session import tasks_for
+from footfall.llm.session import carries_columns, tasks_for
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -348,6 +348,7 @@ def join_report(docs: DataFrame, **options) -> DataFrame:
     return link_classes(docs, **options).select("doc_id", "class_id", "set_id", "n_links")
 
 
+@carries_columns
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """`docs` with one row of each class: the one of the least doc_id (null last). Rows without words stay."""
     linked = link_classes(docs, **options)

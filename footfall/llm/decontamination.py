@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.conf import materialize
 from footfall.llm.hashing import byte_classes, words
+from footfall.llm.session import carries_columns
 
 NGRAM = 10
 BLOCK_WORDS = 500_000
@@ -257,6 +258,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM) -> Data
     )
 
 
+@carries_columns
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM) -> DataFrame:
     """The rows of `docs`, all columns, in whose text no window of a test item occurs.
 

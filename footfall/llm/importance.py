@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.conf import materialize
 from footfall.llm.hashing import Words, byte_classes, mix, words
+from footfall.llm.session import carries_columns
 
 #: Hash buckets of the models.
 BUCKETS = 1 << 16
@@ -253,6 +254,7 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scores.withColumn("kept", F.col("gumbel_key") >= cut)
 
 
+@carries_columns
 def keep_resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that are drawn, all columns."""
     models, weight, _, cut = fit(docs, labels)

@@ -14,6 +14,7 @@ than doc_id, source and text play no part.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from footfall.conf import materialize
+from footfall.llm.session import carries_columns
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -152,6 +153,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+@carries_columns
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix: each row of `docs` as many times as it is taken, all columns kept."""
     served = fair_queue(docs, **options).where("served > 0").selectExpr("entry as _entry", "rows as _rows", "served as _served")

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from footfall.llm.session import carries_columns
+
 SHARDS = 40
 RACKS_PER_REGION, SHARDS_PER_RACK = 4, 5
 #: Hash ranges within a shard that are numbered on their own; 16 ** SLOT_DIGITS of them.
@@ -108,6 +110,7 @@ def shard_report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
 
 
+@carries_columns
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """`docs` with shard and slot, rows of a shard together; columns of these names are replaced."""
     rows = docs.drop("shard", "slot").withColumn("_hash", F.expr(KEY_HASH)).withColumn("_text", F.md5("text"))
