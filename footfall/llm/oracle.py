@@ -82,18 +82,39 @@ select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_it
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from w left join h using (r) left join k using (r)"""
 
+_ENDS = r".!?\x0A\x{0589}\x{061F}\x{06D4}\x{0964}\x{0965}\x{1362}\x{203C}\x{3002}\x{FF01}\x{FF0E}\x{FF1F}\x{FF61}"
 _SPANS = r"""
 with d as (
-  select doc_id, text, regexp_extract_all(text, '[\x09\x0B-\x0D\x20]*(?:[^\x09-\x0D\x20.!?]+[\x09\x0B-\x0D\x20]*){1,16}(?:[.!?\x0A][\x09-\x0D\x20.!?]*)?|[\x09-\x0D\x20.!?]+') as pieces
-  from documents),
-t as (select doc_id, list_transform(pieces, lambda x: trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) as t from d),
-s as (select doc_id, t, unnest(range(1, len(t) - 1)) as i from t),
-p as (select doc_id, i, t[i:i + 2] as words from s where len(t[i]) + len(t[i + 1]) + len(t[i + 2]) >= 60),
+  select doc_id, text, regexp_extract_all(text, '[^ENDS]+(?:[ENDS][\x09-\x0D\x20ENDS]*)?|[ENDS][\x09-\x0D\x20ENDS]*') as ss from documents),
+s as (select doc_id, unnest(ss) as s, unnest(range(len(ss))) as j from d),
+v as (
+  select doc_id, j, s, flatten(list_transform(regexp_extract_all(s, '[\x09-\x0D\x20]*[^\x09-\x0D\x20]+[\x09-\x0D\x20]*'), lambda w:
+    case when len(w) > 32 then list_transform(regexp_extract_all(w, '(?s).'), lambda c: {'u': c, 'r': 12}) else [{'u': w, 'r': 2}] end)) as v
+  from s),
+u as (select doc_id, j, unnest(v, recursive := true), unnest(range(len(v))) as i, len(v) as n from v where len(v) > 16),
+k as (select *, left(md5(trim(u, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')), 8) as k from u),
+m as (
+  select *, case r when 2 then min(k) over (w rows between 2 preceding and 1 preceding)
+      else min(k) over (w rows between 12 preceding and 1 preceding) end as before,
+    case r when 2 then min(k) over (w rows between 1 following and 2 following)
+      else min(k) over (w rows between 1 following and 12 following) end as after
+  from k window w as (partition by doc_id, j order by i)),
+c as (
+  select *, coalesce(sum(case when coalesce(before > k, true) and coalesce(after >= k, true) then 1 else 0 end)
+    over (partition by doc_id, j order by i rows between unbounded preceding and 1 preceding), 0) as part from m),
+f as (select *, (row_number() over (partition by doc_id, j, part order by i) - 1) // 64 as sub from c),
+a as (
+  select doc_id, j, part, sub, string_agg(u, '' order by i) as piece from f group by doc_id, j, part, sub
+  union all select doc_id, j, 0, 0, s from v where len(v) <= 16),
+l as (select doc_id, list(piece order by j, part, sub) as pieces from a group by doc_id),
+t as (select doc_id, list_transform(pieces, lambda x: trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) as t from l),
+o as (select doc_id, t, unnest(range(1, len(t) - 1)) as i from t),
+p as (select doc_id, i, t[i:i + 2] as words from o where strlen(t[i]) + strlen(t[i + 1]) + strlen(t[i + 2]) >= 60),
 r as (select *, row_number() over (partition by words order by doc_id, i) as nth from p),
 g as (select doc_id, list(distinct j) as gone from (select doc_id, unnest([i, i + 1, i + 2]) as j from r where nth > 1) group by doc_id)
 select d.doc_id, coalesce(len(pieces), 0) as n_sentences, coalesce(len(gone), 0) as n_removed,
   case when gone is null then text else array_to_string(list_filter(pieces, lambda x, k: not list_contains(gone, k)), '') end as text
-from d left join g using (doc_id)"""
+from d left join l using (doc_id) left join g using (doc_id)""".replace("ENDS", _ENDS)
 
 _LINKS = r"""
 with recursive w as (select doc_id, regexp_extract_all(text, '[^\x09-\x0D\x20]+') as w from documents),

@@ -1,15 +1,23 @@
 """Substring dedup by sliding spans of sentences.
 
-Every run of SPAN consecutive sentences with at least MIN_CHARS characters is hashed, and
-the hashes of all documents are joined. The first occurrence of a span, in order of
+Every run of SPAN consecutive sentences with at least MIN_BYTES bytes (UTF-8, as a character
+of some scripts says as much as a short word) is hashed, and the hashes of all documents are
+joined. The first occurrence of a span, in order of
 doc_id (null last), text hash and place, stays; sentences that any other occurrence
 covers are removed, be it in the same document or in another.
 
-A sentence ends after a run of `.`, `!`, `?` or line breaks; one of more than MAX_WORDS
-words is cut after every MAX_WORDS-th, so text without such signs is compared as well.
+A sentence ends after a run of line breaks or of `.`, `!`, `?` or their like in other scripts.
+One of more than MAX_WORDS words is cut where its words say so, so that a passage is cut alike
+wherever it stands: after each word whose hash is less than those of the REACH words before it and
+no more than those of the REACH words after it. A word of more than LONG_WORD characters, as in
+scripts without spaces, counts as that many words of one character, with LONG_REACH. Where no
+word is such a least one, as in "w w w", a cut follows after every MOST_WORDS-th.
+
 Sentences are compared without white space at their ends, by 128-bit hashes. Null text
 has no sentences and stays null; a text of which nothing is left is empty. Rows equal in
-doc_id and text are one document and keep the same sentences.
+doc_id and text are one document and keep the same sentences. Very long texts are worked on
+whole; one long sentence at a time is cut into words, at about 150 bytes a word. A text of
+fewer than SPAN sentences has no span, so nothing of it is removed.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -17,27 +25,60 @@ from pyspark.sql import DataFrame, functions as F
 from footfall.conf import materialize
 
 SPAN = 3
-MIN_CHARS = 60
+MIN_BYTES = 60
 MAX_WORDS = 16
+MOST_WORDS = 64
+REACH = 2
+LONG_WORD = 32
+LONG_REACH = 12
+
+#: Line break, full stops, exclamation and question marks of Latin, Arabic, Indic and East Asian scripts.
+ENDS = r".!?\x0A\x{0589}\x{061F}\x{06D4}\x{0964}\x{0965}\x{1362}\x{203C}\x{3002}\x{FF01}\x{FF0E}\x{FF1F}\x{FF61}"
+_SPACE = r"\x09-\x0D\x20"
+#: Pieces whose concatenation is the text: a sentence with what ends it, and a word with the spaces around it.
+SENTENCE = rf"[^{ENDS}]+(?:[{ENDS}][{_SPACE}{ENDS}]*)?|[{ENDS}][{_SPACE}{ENDS}]*"
+WORD = rf"[{_SPACE}]*[^{_SPACE}]+[{_SPACE}]*"
+SPACE = r"\t\n\u000b\u000c\r "
+
+
+def _words(sentence: str) -> str:
+    """SQL: array of (u: the word with its spaces, k: what it is compared by, r: its reach)."""
 
-#: Pieces whose concatenation is the text. White space but line breaks, a word, what ends a sentence.
-_GAP, _WORD, _END = r"[\x09\x0B-\x0D\x20]", r"[^\x09-\x0D\x20.!?]+", r"[.!?\x0A][\x09-\x0D\x20.!?]*"
-SENTENCE = rf"{_GAP}*(?:{_WORD}{_GAP}*){{1,{MAX_WORDS}}}(?:{_END})?|[\x09-\x0D\x20.!?]+"
-SPACE = r"\t\n\u000b\f\r "
+    def word(name: str, reach: int) -> str:
+        return f"struct({name} as u, left(md5(trim(both '{SPACE}' from {name})), 8) as k, {reach} as r)"
+
+    return f"""flatten(transform(regexp_extract_all({sentence}, r'{WORD}', 0), w -> if(char_length(w) > {LONG_WORD},
+      transform(regexp_extract_all(w, r'(?s).', 0), c -> {word("c", LONG_REACH)}), array({word("w", REACH)}))))"""
+
+
+def _cut(words: str) -> str:
+    """SQL: the words of a long sentence put together between its cuts."""
+    least = f"""not exists(slice({words}, greatest(i + 1 - {words}[i].r, 1), least({words}[i].r, i)), x -> x.k <= {words}[i].k)
+      and not exists(slice({words}, i + 2, {words}[i].r), x -> x.k < {words}[i].k)"""
+    edges = f"concat(array(-1), filter(sequence(0, size({words}) - 2), i -> {least}), array(size({words}) - 1))"
+    return f"""transform(array({edges}), e -> flatten(transform(sequence(0, size(e) - 2), j ->
+      transform(sequence(e[j] + 1, e[j + 1], {MOST_WORDS}), a -> array_join(
+        transform(slice({words}, a + 1, least({MOST_WORDS}, e[j + 1] - a + 1)), x -> x.u), '')))))[0]"""
 
 
 def sentences(text: str = "text") -> str:
     """SQL: the sentences of a text as an array; braces are doubled for `spark.sql` with arguments."""
-    return f"regexp_extract_all({text}, r'{SENTENCE}', 0)".replace("{", "{{").replace("}", "}}")
+    # A sentence of 2 * MAX_WORDS characters has no more than MAX_WORDS words, and no long one.
+    sql = f"""flatten(transform(regexp_extract_all({text}, r'{SENTENCE}', 0), s -> if(char_length(s) <= {min(2 * MAX_WORDS, LONG_WORD)},
+      array(s), transform(array({_words("s")}), v -> if(size(v) <= {MAX_WORDS}, array(s), {_cut("v")}))[0])))"""
+    return sql.replace("{", "{{").replace("}", "}}")
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+def cut(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, text, pieces: the sentences of each row (stored, as several steps read them)."""
+    named = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    pieces = docs.sparkSession.sql(f"select *, {sentences()} as pieces from {{docs}}", docs=named)
+    return materialize(pieces.selectExpr("doc_id", "text_hash", "text is null as missing", "pieces"), "sentence-pieces")
 
 
-def spans(docs: DataFrame, span: int = SPAN, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, text_hash, place, h1, h2: every span of each document, by its first sentence."""
-    return docs.sparkSession.sql(
+def spans(pieces: DataFrame, span: int = SPAN, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """doc_id, text_hash, place, h1, h2: every span of each document of `cut`, by its first sentence."""
+    return pieces.sparkSession.sql(
         f"""
         select doc_id, text_hash, s.place, s.h1, s.h2
         from (
@@ -45,46 +86,50 @@ def spans(docs: DataFrame, span: int = SPAN, min_chars: int = MIN_CHARS) -> Data
               if(size(h1) >= {span}, sequence(0, size(h1) - {span}), cast(array() as array<int>)),
               i -> struct(i as place, xxhash64({", ".join(f"h1[i + {j}]" for j in range(span))}) as h1,
                 xxhash64({", ".join(f"h2[i + {j}]" for j in range(span))}) as h2,
-                {" + ".join(f"n[i + {j}]" for j in range(span))} as n)), x -> x.n >= {min_chars})) as s
+                {" + ".join(f"n[i + {j}]" for j in range(span))} as n)), x -> x.n >= {min_bytes})) as s
           from (
             select doc_id, text_hash, transform(t, x -> xxhash64(x)) as h1, transform(t, x -> xxhash64(1L, x)) as h2,
-              transform(t, x -> char_length(x)) as n
+              transform(t, x -> octet_length(x)) as n
             from (
-              select doc_id, text_hash, transform({sentences()}, x -> trim(both '{SPACE}' from x)) as t
-              from {{docs}} where text is not null)))""",
-        docs=_named(docs),
+              select doc_id, text_hash, transform(pieces, x -> trim(both '{SPACE}' from x)) as t
+              from {{cut}} where not missing)))""",
+        cut=pieces,
     )
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, text_hash, place, h1, h2, first: the spans that occur more than once (stored).
+def repeated_spans(pieces: DataFrame, span: int = SPAN, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """doc_id, text_hash, place, h1, h2, first: the spans of `cut` that occur more than once (stored).
 
     Spans are counted by one half of the hash first, with partial sums, so only what may
     repeat is moved whole; both halves decide then. `first` tells the occurrence that stays.
+    The joins are null-safe, which gives the counts a shuffle of their own, so that adaptive
+    execution can cut the rows of a hot span into several tasks.
     """
-    every = spans(docs, span, min_chars)
-    often = every.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1")
-    maybe = materialize(every.join(often, "h1", "left_semi"), "sentence-spans")
+    every = spans(pieces, span, min_bytes)
+    often = every.groupBy(F.col("h1").alias("often")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    maybe = materialize(every.join(often, F.col("h1").eqNullSafe(F.col("often")), "left_semi"), "sentence-spans")
     place = "struct(doc_id is null as unnamed, doc_id, text_hash, place)"
-    firsts = maybe.groupBy("h1", "h2").agg(F.expr(f"min({place})").alias("kept"), F.count(F.lit(1)).alias("n"))
-    return maybe.join(firsts.where("n > 1"), ["h1", "h2"]).withColumn("first", F.expr(f"{place} <=> kept")).drop("kept", "n")
+    firsts = maybe.groupBy(F.struct("h1", "h2").alias("span")).agg(F.expr(f"min({place})").alias("kept"), F.count(F.lit(1)).alias("n"))
+    joined = maybe.join(firsts.where("n > 1"), F.struct("h1", "h2").eqNullSafe(F.col("span")))
+    return joined.withColumn("first", F.expr(f"{place} <=> kept")).drop("span", "kept", "n")
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, min_chars: int = MIN_CHARS) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, min_bytes: int = MIN_BYTES) -> DataFrame:
     """doc_id, n_sentences, n_removed, text for each row of `docs`; text is what stays."""
-    repeats = repeated_spans(docs, span, min_chars).where("not first")
+    pieces = cut(docs)
+    repeats = repeated_spans(pieces, span, min_bytes).where("not first")
     covered = repeats.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places"))  # of one document
     return docs.sparkSession.sql(
         f"""
-        select doc_id, cast(coalesce(size(all_of_it), 0) as bigint) as n_sentences,
-          cast(coalesce(size(all_of_it) - size(stays), 0) as bigint) as n_removed,
-          if(stays is null, text, array_join(stays, '')) as text
+        select doc_id, cast(coalesce(size(pieces), 0) as bigint) as n_sentences,
+          cast(coalesce(size(pieces) - size(stays), 0) as bigint) as n_removed,
+          if(missing, null, array_join(stays, '')) as text
         from (
-          select *, if(gone is null, all_of_it, transform(array_except(sequence(0, size(all_of_it) - 1), gone), i -> all_of_it[i])) as stays
+          select *, if(gone is null, pieces, transform(array_except(sequence(0, size(pieces) - 1), gone), i -> pieces[i])) as stays
           from (
-            select d.doc_id, d.text, {sentences("d.text")} as all_of_it,
+            select d.doc_id, d.missing, if(d.missing, array(), d.pieces) as pieces,
               array_distinct(flatten(transform(c.places, p -> sequence(p, p + {span - 1})))) as gone
-            from {{docs}} d left join {{covered}} c on d.doc_id <=> c.doc_id and d.text_hash = c.text_hash))""",
-        docs=_named(docs),
+            from {{cut}} d left join {{covered}} c on d.doc_id <=> c.doc_id and d.text_hash = c.text_hash))""",
+        cut=pieces,
         covered=covered,
     )
