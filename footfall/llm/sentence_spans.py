@@ -16,10 +16,14 @@ word is such a least one, as in "w w w", a cut follows after every MOST_WORDS-th
 Sentences are compared without white space at their ends, by 128-bit hashes. Null text
 has no sentences and stays null; a text of which nothing is left is empty. Rows equal in
 doc_id and text are one document and keep the same sentences. Very long texts are worked on
-whole; one long sentence at a time is cut into words, at about 150 bytes a word. A text of
+whole; one long sentence at a time is cut into words, at some 200 bytes a word. A text of
 fewer than SPAN sentences has no span, so nothing of it is removed.
 """
 
+import hashlib
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.conf import materialize
@@ -33,47 +37,68 @@ LONG_WORD = 32
 LONG_REACH = 12
 
 #: Line break, full stops, exclamation and question marks of Latin, Arabic, Indic and East Asian scripts.
-ENDS = r".!?\x0A\x{0589}\x{061F}\x{06D4}\x{0964}\x{0965}\x{1362}\x{203C}\x{3002}\x{FF01}\x{FF0E}\x{FF1F}\x{FF61}"
-_SPACE = r"\x09-\x0D\x20"
+ENDS = ".!?\n\u0589\u061f\u06d4\u0964\u0965\u1362\u203c\u3002\uff01\uff0e\uff1f\uff61"
 #: Pieces whose concatenation is the text: a sentence with what ends it, and a word with the spaces around it.
-SENTENCE = rf"[^{ENDS}]+(?:[{ENDS}][{_SPACE}{ENDS}]*)?|[{ENDS}][{_SPACE}{ENDS}]*"
-WORD = rf"[{_SPACE}]*[^{_SPACE}]+[{_SPACE}]*"
+SENTENCE = re.compile(f"[^{ENDS}]+(?:[{ENDS}][\t-\r {ENDS}]*)?|[{ENDS}][\t-\r {ENDS}]*")
+WORD = re.compile("[\t-\r ]*[^\t-\r ]+[\t-\r ]*")
+#: White space in SQL.
 SPACE = r"\t\n\u000b\u000c\r "
-
-
-def _words(sentence: str) -> str:
-    """SQL: array of (u: the word with its spaces, k: what it is compared by, r: its reach)."""
-
-    def word(name: str, reach: int) -> str:
-        return f"struct({name} as u, left(md5(trim(both '{SPACE}' from {name})), 8) as k, {reach} as r)"
-
-    return f"""flatten(transform(regexp_extract_all({sentence}, r'{WORD}', 0), w -> if(char_length(w) > {LONG_WORD},
-      transform(regexp_extract_all(w, r'(?s).', 0), c -> {word("c", LONG_REACH)}), array({word("w", REACH)}))))"""
-
-
-def _cut(words: str) -> str:
-    """SQL: the words of a long sentence put together between its cuts."""
-    least = f"""not exists(slice({words}, greatest(i + 1 - {words}[i].r, 1), least({words}[i].r, i)), x -> x.k <= {words}[i].k)
-      and not exists(slice({words}, i + 2, {words}[i].r), x -> x.k < {words}[i].k)"""
-    edges = f"concat(array(-1), filter(sequence(0, size({words}) - 2), i -> {least}), array(size({words}) - 1))"
-    return f"""transform(array({edges}), e -> flatten(transform(sequence(0, size(e) - 2), j ->
-      transform(sequence(e[j] + 1, e[j + 1], {MOST_WORDS}), a -> array_join(
-        transform(slice({words}, a + 1, least({MOST_WORDS}, e[j + 1] - a + 1)), x -> x.u), '')))))[0]"""
-
-
-def sentences(text: str = "text") -> str:
-    """SQL: the sentences of a text as an array; braces are doubled for `spark.sql` with arguments."""
-    # A sentence of 2 * MAX_WORDS characters has no more than MAX_WORDS words, and no long one.
-    sql = f"""flatten(transform(regexp_extract_all({text}, r'{SENTENCE}', 0), s -> if(char_length(s) <= {min(2 * MAX_WORDS, LONG_WORD)},
-      array(s), transform(array({_words("s")}), v -> if(size(v) <= {MAX_WORDS}, array(s), {_cut("v")}))[0])))"""
-    return sql.replace("{", "{{").replace("}", "}}")
+#: Hashes of words that a task holds, so that a frequent word is hashed once.
+KNOWN_WORDS = 100_000
+
+
+def sentences(text: str, known: dict[str, bytes]) -> list[str]:
+    """The sentences of a text, long ones cut. `known` holds hashes of words between calls."""
+    out = []
+    for sentence in SENTENCE.findall(text):
+        # One of MAX_WORDS short words at most needs no cut, nor one too short to have more words.
+        words = WORD.findall(sentence) if len(sentence) > min(2 * MAX_WORDS, LONG_WORD) else []
+        reach: list[int] = []
+        if words and len(sentence) > LONG_WORD and max(map(len, words)) > LONG_WORD:
+            parts = [list(w) if len(w) > LONG_WORD else [w] for w in words]
+            reach = [LONG_REACH if len(w) > LONG_WORD else REACH for w, p in zip(words, parts) for _ in p]
+            words = [w for p in parts for w in p]
+        if len(words) <= MAX_WORDS:
+            out.append(sentence)
+        else:
+            out.extend(_cut(words, reach or [REACH] * len(words), known))
+    return out
+
+
+def _cut(words: list[str], reach: list[int], known: dict[str, bytes]) -> list[str]:
+    """The words of a long sentence put together between its cuts."""
+    keys = []
+    for w in words:
+        key = known.get(w)
+        if key is None:
+            if len(known) >= KNOWN_WORDS:
+                known.clear()
+            key = known[w] = hashlib.md5(w.strip("\t\n\x0b\f\r ").encode()).digest()[:4]
+        keys.append(key)
+    last = len(words) - 1
+    cuts = [
+        i
+        for i, (before, key, after) in enumerate(zip([b"", *keys], keys, keys[1:]))
+        if (i == 0 or before > key) and after >= key
+        and (i < 2 or min(keys[max(0, i - reach[i]) : i]) > key) and min(keys[i + 1 : i + 1 + reach[i]]) >= key
+    ]
+    out, lo = [], 0
+    for hi in [*cuts, last]:
+        out.extend("".join(words[a : min(a + MOST_WORDS, hi + 1)]) for a in range(lo, hi + 1, MOST_WORDS))
+        lo = hi + 1
+    return out
+
+
+def _pieces(texts: pa.Array) -> pa.Array:
+    known: dict[str, bytes] = {}
+    return pa.array([None if t is None else sentences(t, known) for t in texts.to_pylist()], pa.list_(pa.string()))
 
 
 def cut(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, text, pieces: the sentences of each row (stored, as several steps read them)."""
-    named = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    pieces = docs.sparkSession.sql(f"select *, {sentences()} as pieces from {{docs}}", docs=named)
-    return materialize(pieces.selectExpr("doc_id", "text_hash", "text is null as missing", "pieces"), "sentence-pieces")
+    """doc_id, text_hash, missing, pieces: the sentences of each row (stored, as several steps read them)."""
+    pieces = F.arrow_udf(_pieces, "array<string>")
+    named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.isnull("text").alias("missing"), pieces("text").alias("pieces"))
+    return materialize(named, "sentence-pieces")
 
 
 def spans(pieces: DataFrame, span: int = SPAN, min_bytes: int = MIN_BYTES) -> DataFrame:
