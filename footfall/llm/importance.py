@@ -13,8 +13,9 @@ third model, of words alone and with buckets of its own, counts only words of so
 documents that good ones would have them by chance (MIN_EXPECTED), and whose number of
 good documents is no chance either; a word counts at most MOST times in a text. A document whose words
 weigh less there than a bound, set on the same labelled documents, counts as bad: its
-log weight is lowered below the other bound by as much as it misses this one. With fewer
-than MIN_JUDGED good documents to set that bound on, the first two models decide alone.
+log weight is lowered below the other bound by as much as it misses this one. As a few labelled
+documents can't show that a bound loses no good ones, it counts as losing one more than they
+show, so it has to find as many bad ones as that is worth.
 
 Words are runs of letters, digits and characters beyond ASCII, or of other signs, in
 lower case. A word that repeats the one before it counts as the mark of a repetition,
@@ -43,8 +44,8 @@ WORD_BUCKETS = 1 << 18
 MIN_EXPECTED = 10
 #: How often a word counts in a text there, as words may come in bursts.
 MOST = 4
-#: Good documents that the bound of that model needs, so that it shows what share of them it loses.
-MIN_JUDGED = 100
+#: Good documents that a bound of that model is taken to lose beyond those seen (rule of succession).
+UNSEEN = 1
 #: Bound on the labelled documents that are used (those with the least hash of doc_id).
 LABELLED = 20_000
 #: Share of the good counts in the model of good text; the rest is the raw model. A small
@@ -184,17 +185,19 @@ def gumbel(seed: int = SEED) -> Column:
     return -F.log(-F.log(u))
 
 
-def bound(judged: list[tuple[float, bool]]) -> float:
+def bound(judged: list[tuple[float, bool]], unseen: int = 0) -> float:
     """The weight from which on documents count as good, from (weight, good) of labelled ones.
 
     It lies midway between the two neighbours where the fewest errors are made, a good
-    document below counting as GOOD_OVER_BAD bad ones above.
+    document below counting as GOOD_OVER_BAD bad ones above. Any bound is taken to lose
+    `unseen` good documents more than are seen below it.
     """
     if len({good for _, good in judged}) < 2:
         return -math.inf
     judged = sorted(judged)
     weights, good = np.array([w for w, _ in judged]), np.array([g for _, g in judged])
     errors = GOOD_OVER_BAD * np.concatenate([[0], np.cumsum(good)]) + np.concatenate([np.cumsum(~good[::-1])[::-1], [0]])
+    errors[1:] += GOOD_OVER_BAD * unseen
     cuts = np.concatenate([[-np.inf], (weights[1:] + weights[:-1]) / 2, [np.inf]])
     allowed = np.concatenate([[True], weights[1:] > weights[:-1], [True]])
     return float(cuts[allowed][errors[allowed].argmin()])
@@ -235,11 +238,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[tuple[np.ndarray, np.ndarra
     sample = materialize(labelled_sample(labels), "labelled-sample")
     models = learn(docs, sample)
     scores = materialize(docs.select("doc_id", *weights(models), gumbel().alias("g")), "importance-weights")
-    judged = scores.join(F.broadcast(sample.where("fold = 1")), "doc_id").select("log_weight", "word_weight", "good").limit(LABELLED)
-    judged = judged.collect()
+    known = scores.join(F.broadcast(sample.where("fold = 1")), "doc_id")
+    # One row for each doc_id, so no more than LABELLED; of several texts under one id the least weights.
+    judged = known.groupBy("doc_id", "good").agg(F.min("log_weight").alias("log_weight"), F.min("word_weight").alias("word_weight")).collect()
     least = bound([(r["log_weight"], r["good"]) for r in judged])
-    least_words = bound([(r["word_weight"], r["good"]) for r in judged])
-    if not math.isfinite(least_words) or sum(r["good"] for r in judged) < MIN_JUDGED:
+    least_words = bound([(r["word_weight"], r["good"]) for r in judged], UNSEEN)
+    if not math.isfinite(least_words):
         least_words = -math.inf  # words that tell nothing reject nothing
     k = scores.where((F.col("log_weight") >= least) & (F.col("word_weight") >= least_words)).count()
     floor = least if math.isfinite(least) else scores.agg(F.min("log_weight")).first()[0] or 0.0
