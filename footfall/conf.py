@@ -1,6 +1,8 @@
 """Session settings the jobs are written for, and the shared scratch folder."""
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,21 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Whether the shuffle files of a statement go when it is done, not when the driver next collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within leave no shuffle files: what they hold is in the stored table."""
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared scratch folder and return the table read back.
 

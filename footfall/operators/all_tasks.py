@@ -1,38 +1,52 @@
 """The session histogram of every task of the task table in one pass over the sessions.
 
-Sessions meet tasks over an inverted index, never all against all. A filter is a set of
-conditions (dates, age, profession, city, sex, keywords, categories); tasks of the same
-conditions share one. A session has index terms: its values, and its age and day in bins
-of every width. Each filter is listed under the terms of one of its conditions, the one
-with the fewest sessions by their counted terms, an interval being covered by a few
-bins of a width that suits it. A session that meets a listed filter is then
-checked for all of its conditions. What passes is counted at once, so pairs are not kept.
-
-Sessions that agree in all that filters and the histogram look at are one row with a
-count before that.
+Sessions meet tasks one condition at a time, never as pairs of a session and a task. A
+filter is a list of conditions (CONDITIONS); tasks of the same conditions share one, and
+filters that begin with the same conditions share these as a node of a tree. Rows of
+sessions go down that tree: at each step a row goes to those children of its node whose
+condition it meets, loses the value that the condition looked at, and rows that have
+become alike are summed. So what is kept are sums for a node and the values that later
+conditions look at, and in the end one row for each filter.
+
+Conditions that a session meets few of come first, and those that rows multiply at come
+last, when most values are gone: the order goes by what the given sessions meet.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.conf import materialize
+from footfall.conf import materialize, shuffles_dropped
 from footfall.functions.columns import ratio
 from footfall.operators.states import session_spans, sessions_of
 from footfall.operators.stats import _within
 from footfall.schemas import STEP_BUCKETS, VISIT_BUCKETS
 
-#: An interval is covered by about so many bins, or more of the widest.
-BINS = 16
-#: Bins have a width of 1, 2, 4 .. 2 ** WIDEST years of age or days.
-WIDEST = 10
-
-CONDITIONS = [
-    "start_date", "end_date", "low_age", "high_age", "professionals", "cities", "sex", "keywords", "category_ids",
-]
+#: A step of the tree with so many nodes and entries goes to all tasks; a larger one is joined by shuffles.
+FEW = 100_000
+#: Rows are summed before and after a step at which a row is expected to become so many.
+GROWTH = 2.0
+
+#: Conditions that are met by a common entry: the value of a session each looks at, and the entries of value and condition.
+SETS = {
+    "professionals": ("professional", "split(professional, ',')", "professionals"), "cities": ("city", "split(city, ',')", "cities"),
+    "sex": ("sex", "array(sex)", "array(sex)"), "keywords": ("search_keywords", "split(search_keywords, ',')", "keywords"),
+    "category_ids": ("click_category_ids", "split(click_category_ids, ',')", "category_ids"),
+}
+#: Conditions that are bounds, the values each looks at, and when a session meets one.
+BOUNDS = {
+    "start_date": (("after", "since"), "case when start_date is null then after is null else since >= start_date and (after is null or after < start_date) end"),
+    "end_date": (("until", "before"), "case when end_date is null then before is null else until <= end_date and (before is null or before > end_date) end"),
+    "low_age": (("age",), "low_age is null or age >= low_age"),
+    "high_age": (("age",), "high_age is null or age <= high_age"),
+}
+CONDITIONS = [*SETS, *BOUNDS]
+#: What conditions look at.
+VALUES = ["after", "since", "until", "before", "age", "professional", "city", "sex", "search_keywords", "click_category_ids"]
 _BUCKETS = [
     (f"{column}_{suffix}", _within(column, low, high))
     for column, table in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS))
     for suffix, low, high in table
 ]
+_SUMS = ["session_count", *[name for name, _ in _BUCKETS]]
 
 
 def task_filters(params: DataFrame) -> DataFrame:
@@ -48,73 +62,80 @@ def task_filters(params: DataFrame) -> DataFrame:
 def session_profiles(states: DataFrame, users: DataFrame) -> DataFrame:
     """What filters look at, with the number of sessions and of those in each bucket."""
     sessions = sessions_of(session_spans(states)).join(users.select("user_id", "age", "professional", "city", "sex"), "user_id")
-    key = ["after", "since", "until", "before", "age", "professional", "city", "sex", "search_keywords", "click_category_ids"]
     sums = [F.expr(f"count_if({test})").alias(name) for name, test in _BUCKETS]
-    profiles = sessions.groupBy(*key).agg(F.count(F.lit(1)).alias("session_count"), *sums)
-    return profiles.withColumn("profile_id", F.md5(F.to_json(F.struct(*key)))).withColumns(
-        {"keywords": F.split("search_keywords", ","), "categories": F.split("click_category_ids", ",")}
-    )
-
-
-#: The day of a date text as a number, null if the text is not in the form in which days sort as texts.
-_DAY = "case when {0} rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' then unix_date(try_cast({0} as date)) end"
-_LEVELS = f"sequence(0, {WIDEST})"
-
-
-def _profile_terms(profiles: DataFrame) -> DataFrame:
-    """profile_id, field, term: index terms of each profile."""
-    listed = {
-        "professionals": "split(professional, ',')", "cities": "split(city, ',')", "sex": "array(sex)",
-        "keywords": "array_distinct(keywords)", "category_ids": "array_distinct(categories)",
-        "age": f"transform({_LEVELS}, l -> concat(l, '/', shiftright(age, l)))",
-        "date": f"transform({_LEVELS}, l -> coalesce(concat(l, '/', shiftright({_DAY.format('since')}, l)), 'odd'))",
-    }
-    named = ", ".join(f"struct('{field}' as field, {sql} as terms)" for field, sql in listed.items())
-    return profiles.selectExpr("*", f"explode(array({named})) as x").selectExpr("profile_id", "x.field", "explode(x.terms) as term").distinct()
-
-
-def _cover(low: str, high: str) -> str:
-    """Bins of the least width of which at most BINS + 1 cover an interval."""
-    level = f"least({WIDEST}, greatest(0, cast(ceil(log2(({high} - {low} + 1) / {BINS})) as int)))"
-    bins = f"transform(array({level}), l -> transform(sequence(shiftright({low}, l), shiftright({high}, l)), b -> concat(l, '/', b)))[0]"
-    return f"case when {low} <= {high} then {bins} else array('none') end"
-
-
-def _filter_terms(filters: DataFrame, profiles: DataFrame) -> DataFrame:
-    """filter_id, field, term: where each condition of each filter would be listed.
-
-    Intervals are cut to what the data has. A bound that is no day in the usual form is
-    compared as text, so it covers all days here, and days of other forms are listed apart.
-    """
-    day = _DAY.format("since")
-    ends = profiles.selectExpr(f"min({day})", f"max({day})", "min(age)", "max(age)").first()
-    first, last, young, old = (x or 0 for x in ends)
-    given = filters.selectExpr(
-        "*", f"greatest(coalesce({_DAY.format('start_date')}, {first}), {first}) as low_day",
-        f"least(coalesce({_DAY.format('end_date')}, {last}), {last}) as high_day",
-        f"greatest(low_age, {young}) as young", f"least(high_age, {old}) as old",
-    )
-    listed = {
-        "professionals": "professionals", "cities": "cities", "sex": "case when sex is not null then array(sex) end",
-        "keywords": "keywords", "category_ids": "category_ids",
-        "age": f"case when low_age is not null then {_cover('young', 'old')} end",
-        "date": f"concat({_cover('low_day', 'high_day')}, array('odd'))",
-    }
-    named = ", ".join(f"struct('{field}' as field, {sql} as terms)" for field, sql in listed.items())
-    return given.selectExpr("filter_id", f"explode(array({named})) as x").selectExpr("filter_id", "x.field", "explode(x.terms) as term")
-
-
-_MATCHES = """
-    (start_date is null or (since >= start_date and (after is null or after < start_date)))
-    and (end_date is null or (until <= end_date and (before is null or before > end_date)))
-    and (start_date is not null or after is null) and (end_date is not null or before is null)
-    and (low_age is null or age between low_age and high_age)
-    and (professionals is null or coalesce(arrays_overlap(split(professional, ','), professionals), false))
-    and (cities is null or coalesce(arrays_overlap(split(city, ','), cities), false))
-    and (f_sex is null or sex = f_sex)
-    and (f_keywords is null or coalesce(arrays_overlap(keywords, f_keywords), false))
-    and (category_ids is null or coalesce(arrays_overlap(categories, category_ids), false))
-"""
+    return sessions.groupBy(*VALUES).agg(F.count(F.lit(1)).alias("session_count"), *sums)
+
+
+def _nodes(order: list[str]) -> list[Column]:
+    """The nodes that a filter goes through: the root, then one for each condition of `order`, hashed with 128 bits."""
+    nodes = [F.lit(b"")]
+    for condition in order:
+        nodes.append(F.unhex(F.md5(F.concat(nodes[-1], F.to_json(F.struct(condition)).cast("binary")))))
+    return nodes
+
+
+def _entries(sql: str, none: str) -> str:
+    """SQL for the entries to join on: '=' before each, and '' for no restriction where `none` holds."""
+    given = f"transform(array_distinct(array_compact(coalesce({sql}, array()))), e -> '=' || e)"
+    return f"concat({given}, if({none}, array(''), array()))"
+
+
+def _growth(profiles: DataFrame, filters: DataFrame) -> dict[str, float]:
+    """For each condition, how many rows a row is about expected to become where the tree has all conditions at each node."""
+    values = ", ".join(f"struct('{c}' as field, {_entries(value, 'true')} as entries)" for c, (_, value, _) in SETS.items())
+    often = profiles.selectExpr("session_count", f"inline(array({values}))").selectExpr("session_count", "field", "explode(entries) as entry")
+    often = often.groupBy("field", "entry").agg(F.sum("session_count").alias("often"))
+    given = ", ".join(f"struct('{c}' as field, {_entries(wanted, f'{c} is null')} as entries)" for c, (_, _, wanted) in SETS.items())
+    lists = filters.selectExpr(f"inline(array({given}))").distinct().selectExpr("field", "explode(entries) as entry").groupBy("field", "entry").count()
+    total = profiles.agg(F.sum("session_count")).first()[0] or 1
+    met = often.join(lists, ["field", "entry"]).groupBy("field").agg(F.sum(F.col("often").cast("double") * F.col("count")).alias("met"))
+    growth = dict.fromkeys(SETS, 0.0) | {r.field: r.met / total for r in met.collect()}
+    # About half of the bounds are met.
+    seen = filters.agg(*[F.approx_count_distinct(c).alias(c) for c in BOUNDS], *[F.count_if(F.col(c).isNull()).alias(f"{c}_none") for c in BOUNDS]).first()
+    return growth | {c: (seen[c] + 1) / 2 + (seen[f"{c}_none"] > 0) for c in BOUNDS}
+
+
+def _few(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= FEW else rows
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    """Rows of the same node and values as one."""
+    keys = [c for c in rows.columns if c not in _SUMS]
+    return rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in _SUMS])
+
+
+def _sizes(filters: DataFrame, nodes: list[Column], order: list[str]) -> dict[str, float]:
+    """About how much each step holds: its nodes, times the entries of a list, each of which comes with the list."""
+    lists = {c: F.expr(f"avg(pow(coalesce(size({wanted}), 1), 2))") for c, (_, _, wanted) in SETS.items()}
+    found = filters.agg(*[F.approx_count_distinct(n).alias(c) for n, c in zip(nodes[1:], order)], *[sql.alias(f"{c}_list") for c, sql in lists.items()]).first()
+    return {c: found[c] * ((found[f"{c}_list"] or 1) if c in SETS else 1) for c in order}
+
+
+def filter_counts(profiles: DataFrame, filters: DataFrame) -> tuple[DataFrame, list[str]]:
+    """node and sums of each filter that a session meets, and the order of conditions that nodes go by."""
+    growth = _growth(profiles, filters)
+    order = sorted(CONDITIONS, key=lambda c: growth[c])
+    nodes = _nodes(order)
+    sizes = _sizes(filters, nodes, order)
+    rows = profiles.withColumn("node", nodes[0])
+    for at, condition in enumerate(order):
+        left = {value for c in order[at + 1 :] for value in (BOUNDS[c][0] if c in BOUNDS else SETS[c][:1])}
+        kept = [c for c in VALUES if c in left]
+        steps = filters.select(nodes[at].alias("_node"), nodes[at + 1].alias("_child"), condition).distinct()
+        if condition in SETS:
+            _, value, wanted = SETS[condition]
+            steps = steps.selectExpr("_node", "_child", f"{_entries(wanted, f'{condition} is null')} as _wanted").selectExpr("*", "explode(_wanted) as _entry")
+            rows = rows.selectExpr("node", *kept, *_SUMS, f"{_entries(value, 'true')} as _entries").selectExpr("*", "explode(_entries) as entry")
+            # Of several common entries the least one counts.
+            test = "entry = _entry and (size(_wanted) = 1 or array_min(array_intersect(_entries, _wanted)) = entry)"
+        else:
+            test = BOUNDS[condition][1]
+        rows = rows.join(_few(steps, sizes[condition]), (F.col("node") == F.col("_node")) & F.expr(test))
+        rows = rows.select(F.col("_child").alias("node"), *kept, *_SUMS)
+        if max(growth[c] for c in order[at : at + 2]) >= GROWTH or at + 1 == len(order):
+            rows = _summed(rows)
+    return rows, order
 
 
 def all_tasks_stat(params: DataFrame, states: DataFrame, users: DataFrame) -> DataFrame:
@@ -123,20 +144,12 @@ def all_tasks_stat(params: DataFrame, states: DataFrame, users: DataFrame) -> Da
     A task whose filter no session meets has the count 0 and null ratios.
     """
     spark = states.sparkSession
-    tasks = materialize(task_filters(params).withColumn("filter_id", F.md5(F.to_json(F.struct(*CONDITIONS)))), "task-filters")
-    filters = tasks.drop("task_id").dropDuplicates(["filter_id"])
-    profiles = materialize(session_profiles(states, users), "session-profiles")
-    terms = materialize(_profile_terms(profiles), "profile-terms")
-    listed = materialize(_filter_terms(filters, profiles), "filter-terms")
-    # The condition with the fewest sessions.
-    often = terms.groupBy("field", "term").agg(F.count(F.lit(1)).alias("often"))
-    cost = listed.join(often, ["field", "term"], "left").groupBy("filter_id", "field").agg(F.sum(F.coalesce("often", F.lit(0))).alias("cost"))
-    lead = cost.groupBy("filter_id").agg(F.min(F.struct("cost", "field")).alias("lead")).selectExpr("filter_id", "lead.field")
-    met = listed.join(lead, ["filter_id", "field"]).join(terms, ["field", "term"]).select("filter_id", "profile_id").distinct()
-    wanted = filters.withColumnsRenamed({"sex": "f_sex", "keywords": "f_keywords"})
-    found = met.join(wanted, "filter_id").join(profiles, "profile_id").where(_MATCHES)
-    names = ["session_count", *[name for name, _ in _BUCKETS]]
-    counts = found.groupBy("filter_id").agg(*[F.sum(n).alias(n) for n in names])
-    counts = tasks.select("task_id", "filter_id").join(counts, "filter_id", "left").select("task_id", *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
+    with shuffles_dropped(spark):
+        tasks = materialize(task_filters(params), "task-filters")
+        filters = materialize(tasks.select(*CONDITIONS).distinct(), "filters")
+        profiles = materialize(session_profiles(states, users), "session-profiles")
+    counts, order = filter_counts(profiles, filters)
+    given = tasks.select("task_id", _nodes(order)[-1].alias("node"))
+    counts = given.join(counts, "node", "left").select("task_id", *[F.coalesce(n, F.lit(0)).alias(n) for n in _SUMS])
     ratios = ", ".join(f"{ratio(name, 'session_count')} as {name}_ratio" for name, _ in _BUCKETS)
     return spark.sql(f"select task_id, session_count, {ratios} from {{counts}}", counts=counts)

@@ -9,6 +9,7 @@ its days. Actions without a date belong to no day and are left out.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from footfall.conf import shuffles_dropped
 from footfall.functions.columns import parse_time_sql
 from footfall.schemas import NOT_FOUND
 from footfall.sources.tasks import TaskParams
@@ -35,13 +36,14 @@ def daily_states(actions: DataFrame) -> DataFrame:
 
 def store_states(states: DataFrame, path: str) -> None:
     """Put the days of `states` into the table at `path`; other days stay as they are."""
-    (
-        states.hint("rebalance", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    with shuffles_dropped(states.sparkSession):
+        (
+            states.hint("rebalance", "date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date")
+            .parquet(path)
+        )
 
 
 def read_states(spark: SparkSession, path: str, params: TaskParams = TaskParams()) -> DataFrame:
@@ -87,11 +89,23 @@ def session_spans(states: DataFrame) -> DataFrame:
 
     A range of dates that begins after `after` (null: any time before) and not later than
     `since`, and ends not before `until` and before `before` (null: any time after) has
-    exactly those days of the session. A session has few days (mostly one), so few stretches.
+    exactly those days of the session. A session has few days (mostly one), so few stretches:
+    its days are put together once, and what `merge_states` does is done within the row.
     """
-    days = states.groupBy(F.col("session_id").alias("of")).agg(F.sort_array(F.collect_set("date")).alias("days"))
-    spans = days.selectExpr("of", "days", "explode(sequence(1, size(days))) as i")
-    spans = spans.selectExpr("of", "days", "i", "explode(sequence(i, size(days))) as j")
-    spans = spans.selectExpr("of", "get(days, i - 2) as after", "days[i - 1] as since", "days[j - 1] as until", "get(days, j) as before")
-    parts = spans.join(states, F.expr("of <=> session_id and date between since and until"))
-    return merge_states(parts, ("session_id", "after", "since", "until", "before"))
+    rest = [c for c in states.columns if c not in ("session_id", "date")]
+    parts = F.sort_array(F.collect_list(F.struct("date", *rest))).alias("parts")
+    days = states.where("date is not null").groupBy("session_id").agg(parts)
+    spans = days.selectExpr("*", "array_distinct(parts.date) as days").selectExpr("*", "explode(sequence(1, size(days))) as i")
+    spans = spans.selectExpr("*", "explode(sequence(i, size(days))) as j").selectExpr(
+        "session_id", "get(days, i - 2) as after", "days[i - 1] as since", "days[j - 1] as until", "get(days, j) as before",
+        "filter(parts, s -> s.date between days[i - 1] and days[j - 1]) as parts",
+    )
+    return spans.selectExpr(
+        "session_id", "after", "since", "until", "before",
+        "array_min(parts.user_id) as user_id",
+        "array_sort(array_distinct(flatten(array_compact(parts.keywords)))) as keywords",
+        "array_sort(array_distinct(flatten(array_compact(parts.categories)))) as categories",
+        "array_min(parts.first_at) as first_at", "array_max(parts.last_at) as last_at",
+        "aggregate(parts.steps, 0L, (a, n) -> a + n) as steps",
+        "aggregate(parts.unreadable, 0L, (a, n) -> a + n) as unreadable", "since as date",
+    )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.conf import scratch_folder
+from footfall.conf import scratch_folder, shuffles_dropped
 from footfall.schemas import ACTION_SCHEMA, USER_SCHEMA
 from footfall.sources.tasks import TaskParams
 
@@ -22,7 +22,8 @@ def save_actions(actions: DataFrame, path: str) -> None:
 
     `rebalance` sizes the files and splits a day that is bigger than the others.
     """
-    actions.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path)
+    with shuffles_dropped(actions.sparkSession):
+        actions.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path)
 
 
 def stored_actions(actions: DataFrame) -> tuple[DataFrame, str]:

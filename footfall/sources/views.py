@@ -22,22 +22,23 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actions out of `events`.
 
     The grain of a session depends on the user (month, ten days or day). All
-    actions of a session get the hour of its first event plus an offset.
+    actions of a session get the hour of its first event plus an offset. Rows are
+    shuffled by the short text that the id of a session is the hash of.
     """
     events = spark.sql(
         """
         select event_id, ts, user_id, event_type, value, cast(get_json_object(props, '$.k') as bigint) as k,
-          md5(concat(cast(user_id as string), '_',
+          concat(cast(user_id as string), '_',
             case when user_id % 10 = 0 then 'm' || left(day, 6)
                  when user_id % 10 in (1, 2) then 'd' || left(day, 6) || cast((dayofmonth(ts) - 1) div 10 as string)
-                 else day end)) as session_id
+                 else day end) as session
         from (select *, replace(left(cast(ts as string), 10), '-', '') as day from {events})""",
         events=table(spark, sf_dir, "events"),
     )
     first_hour = F.expr("left(cast(min(ts) as string), 13) as base")
     return spark.sql(
         """
-        select left(base, 10) as date, user_id, session_id, event_id % 10 as page_id,
+        select left(base, 10) as date, user_id, md5(session) as session_id, event_id % 10 as page_id,
           cast(cast(base || ':00:00' as timestamp_ntz)
             + make_dt_interval(0, 0, 0, cast(floor(value * 10) as decimal(18, 6))) as string) as action_time,
           case when event_type = 'view' then 'kw' || cast(k % 10 as string) end as search_keyword,
@@ -50,7 +51,7 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
             then ',' || cast((k + 1) % 100 as string) else '' end end as pay_category_ids,
           case when event_type = 'purchase' then cast((k * 7) % 100 as string) end as pay_product_ids
         from {based}""",
-        based=with_group_values(events, "session_id", [first_hour]),
+        based=with_group_values(events, "session", [first_hour]),
     )
 
 
